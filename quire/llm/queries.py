@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from quire.llm import simhash
+from quire.llm import packing, simhash, tokens
 
 QUERIES = {
+    "op5_sum_of_squares_packing": packing.query,
     "op6_simhash_neardup": simhash.query,
+    "op10_token_counts": tokens.query,
 }
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from quire.llm import packing, simhash, tokens
+from quire.llm import containment, packing, secrets, simhash, tokens
 
 QUERIES = {
+    "op2_secret_scan": secrets.query,
     "op5_sum_of_squares_packing": packing.query,
     "op6_simhash_neardup": simhash.query,
+    "op8_benchmark_decontamination": containment.query,
     "op10_token_counts": tokens.query,
 }
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_benchmark_decontamination": containment.SQL,
+}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from quire.llm import containment, packing, secrets, simhash, tokens
+from quire.llm import containment, packing, quality, secrets, simhash, tokens, toxicity
 
 QUERIES = {
     "op2_secret_scan": secrets.query,
+    "op4_toxicity": toxicity.query,
     "op5_sum_of_squares_packing": packing.query,
     "op6_simhash_neardup": simhash.query,
+    "op7_quality_neighbours": quality.query,
     "op8_benchmark_decontamination": containment.query,
     "op10_token_counts": tokens.query,
 }

@@ -22,7 +22,7 @@ _SCHEMA = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.in
 _ROWS = 4096
 
 
-def id_memo(path: str, limit: int = 250_000) -> PieceMemo:
+def id_memo(path: str, limit: int = 500_000) -> PieceMemo:
     """Little-endian 32-bit ids of pieces, for a vocabulary that marks the ends of words with </w> and folds case.
 
     Words of plain letters are folded here and go to the same model without its normaliser and pattern, which
@@ -131,7 +131,7 @@ def pack(docs: DataFrame, *, path: str | None = None, id_col: str = "doc_id", te
             def settle() -> Iterator[tuple]:
                 memo.learn(set().union(*(p for _, p in waiting)))
                 for doc, pieces in waiting:
-                    yield doc, b"".join(map(memo.__getitem__, pieces)) + end
+                    yield doc, b"".join(map(memo.known.__getitem__, pieces)) + end
                 waiting.clear()
 
             for b in batches:

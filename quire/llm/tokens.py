@@ -19,7 +19,7 @@ CHUNK, OVERLAP = 1 << 15, 256
 #: Entries a worker's memo holds before it starts anew.
 MEMO = 400_000
 #: Texts gathered before their new pieces are encoded together.
-GATHER = 1 << 20
+GATHER = 1 << 22
 
 # Characters beside which a single space is certainly the start of a new pre-token: they are no white space,
 # and in byte-level patterns only white space can extend over a following space.
@@ -45,7 +45,7 @@ def stable_pieces(text: str) -> list[str]:
     return text.replace("\n", " \n").split(" ")
 
 
-class Cores(dict):
+class Cores:
     """Values of plain words, each behind its lead (a space or line end), from one joined encoding of many words.
 
     The words are letters only, so a token that holds the lead (or that ends a word) marks where the next word's
@@ -53,13 +53,13 @@ class Cores(dict):
     """
 
     def __init__(self, tokenizer: Tokenizer, marks: dict[str, np.ndarray], at_end: bool, value, limit: int) -> None:  # noqa: ANN001
-        super().__init__()
+        self.known: dict = {}
         self.tokenizer, self.marks, self.at_end, self.value, self.limit = tokenizer, marks, at_end, value, limit
 
     def learn(self, words: set[str]) -> None:
-        new = list(words.difference(self))
-        if len(self) + len(new) > self.limit:
-            self.clear()
+        new = list(words.difference(self.known))
+        if len(self.known) + len(new) > self.limit:
+            self.known.clear()
             new = list(words)
         for lead, mark in self.marks.items():
             mine = [w for w in new if w[0] == lead]
@@ -71,32 +71,34 @@ class Cores(dict):
                 cuts = np.append(0, cuts + 1) if self.at_end else np.append(cuts, len(ids))
                 if len(cuts) != len(part) + 1:
                     raise ValueError("the vocabulary does not mark the bounds of words")
-                self.update(zip(part, self.value(ids, cuts.tolist()), strict=True))
+                self.known.update(zip(part, self.value(ids, cuts.tolist()), strict=True))
 
 
-class PieceMemo(dict):
+class PieceMemo:
     """What a function of a piece's token ids gives, remembered per piece, with a bounded number of entries.
 
     A piece of letters and then punctuation is the sum of the two, whose ids never depend on each other; other
     pieces are encoded as they are.
     """
 
-    _PLAIN_PIECE = re.compile("(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%*&$#|]*)")
+    _SIGNS = ".,;:!?%*&$#|"
+    _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
     def __init__(self, path: str, cores: Cores, one, *, fold: bool = False, limit: int = MEMO) -> None:  # noqa: ANN001
-        super().__init__()
+        self.known: dict = {}
         self.tokenizer, self.cores, self.one, self.fold, self.limit, self.ends = load(path), cores, one, fold, limit, {"": one([])}
 
     def learn(self, pieces: set[str]) -> None:
-        new = pieces.difference(self)
-        if len(self) + len(new) > self.limit:
-            self.clear()
+        new = pieces.difference(self.known)
+        if len(self.known) + len(new) > self.limit:
+            self.known.clear()
             new = pieces
-        plain, rest, match = [], [], self._PLAIN_PIECE.fullmatch
+        plain, rest, signs, latin, fold = [], [], self._SIGNS, self._LATIN.fullmatch, self.fold
         for p in new:
-            if m := match(p):
-                lead, word, end = m.groups()
-                plain.append((p, (lead or " ") + (word.lower() if self.fold else word), end))
+            body = p.rstrip(signs)
+            word = body[1:] if body[:1] == "\n" else body
+            if word.isalpha() and (word.isascii() or latin(word)):
+                plain.append((p, (" " if word is body else "\n") + (word.lower() if fold else word), p[len(body) :]))
             else:
                 rest.append(p)
         self.cores.learn({w for _, w, _ in plain})
@@ -104,15 +106,15 @@ class PieceMemo(dict):
             if len(self.ends) > 10_000:
                 self.ends = {"": self.one([])}
             self.ends[end] = self.one(self.tokenizer.encode(end, add_special_tokens=False).ids)
-        cores, ends, one = self.cores, self.ends, self.one
+        known, cores, ends, one = self.known, self.cores.known, self.ends, self.one
         for p, w, e in plain:
             if e not in ends:
                 ends[e] = one(self.tokenizer.encode(e, add_special_tokens=False).ids)
-            self[p] = cores[w] + ends[e]
+            known[p] = cores[w] + ends[e]
         for at in range(0, len(rest), 20_000):
             part = rest[at : at + 20_000]
             made = self.tokenizer.encode_batch_fast([p if p[:1] == "\n" else " " + p for p in part], add_special_tokens=False)
-            self.update(zip(part, (one(e.ids) for e in made), strict=True))
+            self.known.update(zip(part, (one(e.ids) for e in made), strict=True))
 
 
 def marked(tokenizer: Tokenizer, *, start: str = "", end: str = "") -> np.ndarray:
@@ -186,7 +188,7 @@ def token_counts(docs: DataFrame, *, path: str | None = None, id_col: str = "doc
                 first = load(path).encode_batch_fast([p[0] for _, p in waiting], add_special_tokens=False)
                 memo.learn(set().union(*(p[1:] for _, p in waiting)))
                 for (i, p), head in zip(waiting, first, strict=True):
-                    counts[i] = len(head) + sum(map(memo.__getitem__, islice(p, 1, None)))
+                    counts[i] = len(head) + sum(map(memo.known.__getitem__, islice(p, 1, None)))
                 waiting.clear()
 
             for i, t in enumerate(texts):

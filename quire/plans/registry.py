@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from quire.plans import documents
+
+QUERIES: dict = dict(documents.QUERIES)
+SQL: dict[str, str] = dict(documents.SQL)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from statistics import median
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from quire.functions import geometry as G
 
@@ -33,15 +36,29 @@ def nearest(left: DataFrame, right: DataFrame, by: list[str], key: str, position
     return met.groupBy(*by, key).agg(F.min_by(F.struct(F.col(other), distance.alias("distance")), F.struct(distance, F.col(other_position), F.col(other))).alias("m")).select(*by, key, f"m.{other}", "m.distance")
 
 
-def drop_nested(boxes: DataFrame, by: list[str], order: str, share: float = 0.95) -> DataFrame:
+def fold_groups(df: DataFrame, by: list[str], fold: Callable[[list[dict]], list[dict]], schema: StructType) -> DataFrame:
+    """Rows that a Python fold makes of each group's rows; a group is a page or document, many groups share one Arrow batch."""
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                rows = [r for group in b.column(0).slice(at, 1000).to_pylist() for r in fold(group)]
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    grouped = df.groupBy(*by).agg(F.collect_list(F.struct(*df.columns)).alias("_rows")).select("_rows")
+    return grouped.mapInArrow(run, schema)
+
+
+def drop_nested(boxes: DataFrame, by: list[str], order: list[str], share: float = 0.95) -> DataFrame:
     """Boxes without those of which a kept earlier box of the page covers the share of the smaller area; the kept one takes the longer text.
 
     The outcome of each box depends on which earlier ones were kept, so a page is folded in order.
     """
 
-    def fold(page: pd.DataFrame) -> pd.DataFrame:
+    def fold(page: list[dict]) -> list[dict]:
         kept: list[dict] = []
-        for row in page.sort_values(order).to_dict("records"):
+        for row in sorted(page, key=lambda r: [r[c] for c in order]):
             for k in kept:
                 w = min(row["x1"], k["x1"]) - max(row["x0"], k["x0"])
                 h = min(row["y1"], k["y1"]) - max(row["y0"], k["y0"])
@@ -52,47 +69,49 @@ def drop_nested(boxes: DataFrame, by: list[str], order: str, share: float = 0.95
                     break
             else:
                 kept.append(row)
-        return pd.DataFrame(kept, columns=page.columns)
+        return kept
 
-    return boxes.groupBy(*by).applyInPandas(fold, boxes.schema)
+    return fold_groups(boxes, by, fold, boxes.schema)
+
+
+def _with_row_no(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("row_no", IntegerType())])
 
 
 def visual_rows(items: DataFrame, by: list[str], *, share: float = 0.35, look_back: int = 3) -> DataFrame:
     """Items (x0, y0, x1, y1, ord) with ``row_no``: an item joins the newest of the last rows that it overlaps by the share of the smaller height, else opens one."""
 
-    def fold(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.assign(_c=(page.y0 + page.y1) / 2).sort_values(["_c", "x0", "ord"])
-        rows: list[list] = []
-        number = []
-        for y0, y1 in zip(page.y0, page.y1, strict=True):
+    def fold(page: list[dict]) -> list[dict]:
+        rows: list[tuple[float, float]] = []
+        for item in sorted(page, key=lambda r: ((r["y0"] + r["y1"]) / 2, r["x0"], r["ord"])):
+            y0, y1 = item["y0"], item["y1"]
             for i in range(len(rows) - 1, max(-1, len(rows) - 1 - look_back), -1):
                 top, bottom = rows[i]
                 if min(bottom, y1) - max(top, y0) >= share * min(max(y1 - y0, 1.0), bottom - top):
-                    rows[i] = [min(top, y0), max(bottom, y1)]
+                    rows[i] = (min(top, y0), max(bottom, y1))
                     break
             else:
                 i = len(rows)
-                rows.append([y0, y1])
-            number.append(i)
-        return page.drop(columns="_c").assign(row_no=number)
+                rows.append((y0, y1))
+            item["row_no"] = i
+        return page
 
-    return items.groupBy(*by).applyInPandas(fold, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in items.schema.fields)}, row_no int")
+    return fold_groups(items, by, fold, _with_row_no(items.schema))
 
 
 def center_rows(items: DataFrame, by: list[str]) -> DataFrame:
     """Items (y0, y1, x0, ord) with ``row_no``: an item joins the last row if its center is within max(1.5, 0.3 median heights) of the mean of that row's centers."""
 
-    def fold(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values(["y0", "x0", "ord"])
-        tolerance, number, total, n, row = max(1.5, 0.3 * (page.y1 - page.y0).median()), [], 0.0, 0, -1
-        for c in (page.y0 + page.y1) / 2:
-            if n and abs(c - total / n) <= tolerance:
-                total, n = total + c, n + 1
+    def fold(page: list[dict]) -> list[dict]:
+        tolerance = max(1.5, 0.3 * median(r["y1"] - r["y0"] for r in page))
+        total, n, row = 0.0, 0, -1
+        for item in sorted(page, key=lambda r: (r["y0"], r["x0"], r["ord"])):
+            center = (item["y0"] + item["y1"]) / 2
+            if n and abs(center - total / n) <= tolerance:
+                total, n = total + center, n + 1
             else:
-                row, total, n = row + 1, c, 1
-            number.append(row)
-        return page.assign(row_no=number)
-
-    return items.groupBy(*by).applyInPandas(fold, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in items.schema.fields)}, row_no int")
-
+                row, total, n = row + 1, center, 1
+            item["row_no"] = row
+        return page
 
+    return fold_groups(items, by, fold, _with_row_no(items.schema))

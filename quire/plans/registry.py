@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.plans import documents
+from quire.plans import documents, records
 
-QUERIES: dict = dict(documents.QUERIES)
-SQL: dict[str, str] = dict(documents.SQL)
+QUERIES: dict = documents.QUERIES | records.QUERIES
+SQL: dict[str, str] = documents.SQL | records.SQL

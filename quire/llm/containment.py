@@ -118,15 +118,28 @@ class Sketch:
             tables = []
             for j in range(permutations):
                 order = np.argsort(values[:, j], kind="stable")
-                tables.append((values[order, j], owners[order], self._filter(values[:, j] >> np.uint32(12), 20)))
+                tables.append((values[order, j], owners[order]))
             self.classes[u] = tables
-        self.small_filter = self._filter(self.small[0] >> _U(44), 20)
+        self._filters()
 
-    @staticmethod
-    def _filter(keys: np.ndarray, bits: int) -> np.ndarray:
-        out = np.zeros(1 << bits, bool)
-        out[keys.astype(np.int64)] = True
-        return out
+    def _filters(self) -> None:
+        """Bit tables of the keys' upper bits, so that few windows are looked up. Each worker makes its own; they are never sent."""
+        self.bits = min(18, max(14, len(self.ids).bit_length() + 6))
+
+        def there(keys: np.ndarray, width: int) -> np.ndarray:
+            out = np.zeros(1 << self.bits, bool)
+            out[(keys >> keys.dtype.type(width - self.bits)).astype(np.int64)] = True
+            return out
+
+        self.small_filter = there(self.small[0], 64)
+        self.filters = {u: [there(keys, 32) for keys, _ in tables] for u, tables in self.classes.items()}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("small_filter", "filters")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._filters()
 
     @staticmethod
     def _meet(found: np.ndarray, at: np.ndarray, keys: np.ndarray, owners: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -140,7 +153,7 @@ class Sketch:
         """(text, item) pairs that share a MinHash in some window; h and doc as shingle_hashes gives them."""
         out: set[tuple[int, int]] = set()
         if len(self.small[0]):
-            at = np.flatnonzero(self.small_filter[(h >> _U(44)).astype(np.int64)])
+            at = np.flatnonzero(self.small_filter[(h >> _U(64 - self.bits)).astype(np.int64)])
             out.update((int(doc[p]), o) for p, o in self._meet(h[at], at, *self.small))
         if not self.classes or not len(h):
             return out
@@ -157,8 +170,8 @@ class Sketch:
                     v, block = np.minimum(v[0::2], v[1::2]), 2 * block
                 edge = np.concatenate((v, [_EMPTY, _EMPTY]))
                 w = np.minimum(np.minimum(edge[:-2], edge[1:-1]), edge[2:])
-                keys, owners, there = tables[j]
-                at = np.flatnonzero(there[w >> np.uint32(12)])
+                keys, owners = tables[j]
+                at = np.flatnonzero(self.filters[u][j][w >> np.uint32(32 - self.bits)])
                 for p, o in self._meet(w[at], at, keys, owners):
                     first, last = doc[min(p * block, len(h) - 1)], doc[min(p * block + 3 * block, len(h)) - 1]
                     out.update((int(d), o) for d in range(first, last + 1))

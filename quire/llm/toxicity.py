@@ -97,9 +97,9 @@ def mine(sample: DataFrame, per_class: dict[int, int], *, entries: int = ENTRIES
 class LabelModel:
     """A generative model of voters (1 toxic, -1 clean, 0 no vote) given the unseen label.
 
-    Expectation maximisation gives each voter's chances of each vote by label (so its accuracy); the votes'
-    remaining correlations given the label then discount voters that repeat one another, and a second run uses
-    these weights.
+    Expectation maximisation gives each voter's chances of each vote by label (so its accuracy). Voters that nearly
+    repeat one another share one weight from the start, else they would pass for the label; the votes' remaining
+    correlations given the label discount the others, and a second run uses these weights.
     """
 
     def __init__(self, prior: float, rounds: int = 25) -> None:
@@ -124,7 +124,13 @@ class LabelModel:
         if not n or not m:
             return np.full(n, self.prior)
         start = np.where(votes.sum(axis=1) > 0, 0.9, 0.05 * np.ones(n))
-        q = self._run(votes, start, np.ones(m))
+        centred = votes - votes.mean(axis=0)
+        norm = np.sqrt(np.maximum((centred**2).sum(axis=0), 1e-9))
+        alike = np.abs(centred.T @ centred / np.outer(norm, norm))
+        alike = np.where(alike > 0.9, alike, 0)
+        np.fill_diagonal(alike, 1)
+        self.weights = 1 / alike.sum(axis=1)
+        q = self._run(votes, start, self.weights)
         rest = np.zeros((m, m))
         for y, p in enumerate((1 - q, q)):
             centred = votes - (self.chances[y] @ np.array([-1, 0, 1.0]))

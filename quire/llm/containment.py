@@ -75,7 +75,7 @@ def shingle_hashes(texts: list[bytes], powers: Powers, k: int = SHINGLE) -> tupl
     doc = np.searchsorted(begins, start, "right") - 1
     n = np.bincount(doc, minlength=len(texts))
     out = np.zeros(len(h), _U)
-    for i in range(k):
+    for i in range(min(k, len(h))):
         out[: len(h) - i] = out[: len(h) - i] * _U(_P) + h[i:]
     last = np.cumsum(n)
     full = np.arange(len(h)) + k <= last[doc]

@@ -1,4 +1,5 @@
 import zlib
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +12,11 @@ BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.pa
 TEXTS = st.text(alphabet=" \n\tabAB.,'1é日 ́\x1c<|>", max_size=80)
 
 
+@cache
+def memos():
+    return tokens.count_memo(BYTES), packing.id_memo(WORDS)
+
+
 def encode(path, text):
     return tokens.load(path).encode(text, add_special_tokens=False).ids
 
@@ -19,7 +25,7 @@ def encode(path, text):
 @settings(max_examples=300, deadline=None)
 def test_pieces_count_as_the_whole(text):
     if text:
-        memo, (first, *rest) = tokens.count_memo(BYTES), tokens.stable_pieces(text)
+        memo, (first, *rest) = memos()[0], tokens.stable_pieces(text)
         memo.learn(set(rest))
         assert len(encode(BYTES, first)) + sum(memo.known[p] for p in rest) == len(encode(BYTES, text))
 
@@ -38,7 +44,7 @@ def test_special_strings_and_no_boundaries():
 @given(TEXTS)
 @settings(max_examples=200, deadline=None)
 def test_word_ids(text):
-    memo, pieces = packing.id_memo(WORDS), text.replace("\n", " ").split(" ")
+    memo, pieces = memos()[1], text.replace("\n", " ").split(" ")
     memo.learn(set(pieces))
     assert b"".join(memo.known[p] for p in pieces) == np.array(encode(WORDS, text), "<u4").tobytes()
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import containment, packing, quality, secrets, simhash
+from quire.llm import containment, nearcopies, packing, quality, secrets
 from quire.llm.common import materialize, table
 
 #: A document scored below this by the quality classifier goes.
@@ -23,8 +23,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that with the smallest id, of each group of near copies. Documents without an id are kept; of rows that repeat an id one is."""
-    found = simhash.simhash_components(docs)
+    """Keep one document, that with the smallest id, of each group of near copies (Jaccard similarity of 5-word shingles of 0.8 or more). Documents without an id are kept; of rows that repeat an id one is."""
+    found = nearcopies.near_components(docs)
     keep = materialize(found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct(), "pipeline-keep")
     return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
 

@@ -94,9 +94,11 @@ def parent_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def longest_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each part the longest outline number that starts its own, and the last outline row of that number; all parts make the outline."""
     parts = _table(spark, sf_dir, "part").select("p_partkey", F.array(F.col("p_size") % 5, F.col("p_size") % 3, (F.col("p_partkey") % 7).cast("int")).alias("number"))
-    outline = parts.where("p_partkey % 10 < 3").select(F.explode(F.array(F.slice("number", 1, 1), F.when(F.col("p_partkey") % 3 == 0, F.slice("number", 1, 2)))).alias("number"), F.col("p_partkey").alias("ord")).where("number is not null")
-    return boundaries.longest_prefix(parts, outline.where("ord < 40"), "p_partkey", "number").select("p_partkey", N.dotted(F.col("prefix")).alias("prefix"), "entry")
+    outline = parts.select(F.explode(F.array(F.slice("number", 1, 1), F.when(F.col("p_partkey") % 3 == 0, F.slice("number", 1, 2)))).alias("number"), F.col("p_partkey").alias("ord")).where("number is not null")
+    last = outline.groupBy("number").agg(F.max("ord").alias("ord"))
+    return boundaries.longest_prefix(parts, last, "p_partkey", "number").select("p_partkey", N.dotted(F.col("prefix")).alias("prefix"), "entry")
 
 
 def next_peer(spark: SparkSession, sf_dir: str) -> DataFrame:

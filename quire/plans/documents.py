@@ -89,12 +89,14 @@ def title_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The benchmark item most similar to a page's title among those that share a word of six letters or more."""
-    pages = _titles(spark, sf_dir).select("page_id", T.words(F.col("title")).alias("tw"))
-    items = _table(spark, sf_dir, "benchmark").select("item_id", T.words(F.col("text")).alias("iw"))
-    key = lambda c: F.explode(F.filter(c, lambda x: F.length(x) >= 6)).alias("key")
-    met = pages.select("page_id", "tw", key("tw")).join(items.select("item_id", "iw", key("iw")), "key").select("page_id", "item_id", F.round(T.similarity(F.col("tw"), F.col("iw")), 9).alias("similarity")).distinct()
-    return met.groupBy("page_id").agg(F.max_by(F.struct("item_id", "similarity"), F.struct("similarity", -F.col("item_id"))).alias("m")).select("page_id", "m.item_id", "m.similarity")
+    """The benchmark item most similar to a page's title, ties to the smaller id; no item and 0 where none shares a word."""
+    pages = _titles(spark, sf_dir).select("page_id", T.words(F.col("title")).alias("w"))
+    items = _table(spark, sf_dir, "benchmark").select("item_id", T.words(F.col("text")).alias("w"))
+    words = lambda df, key, size: df.select(key, F.size("w").alias(size), F.explode("w").alias("word"))
+    met = words(pages, "page_id", "n").join(words(items, "item_id", "m"), "word").groupBy("page_id", "item_id").agg(F.count("*").alias("both"), F.first("n").alias("n"), F.first("m").alias("m"))
+    met = met.select("page_id", "item_id", F.round(F.col("both") / (F.col("n") + F.col("m") - F.col("both")), 9).alias("similarity"))
+    best = met.groupBy("page_id").agg(F.max_by(F.struct("item_id", "similarity"), F.struct("similarity", -F.col("item_id"))).alias("best"))
+    return pages.select("page_id").join(best, "page_id", "left").select("page_id", "best.item_id", F.coalesce("best.similarity", F.lit(0.0)).alias("similarity"))
 
 
 def bookmark_disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:

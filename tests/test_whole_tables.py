@@ -32,3 +32,12 @@ def test_longest_prefix_uses_all_parts_as_outline(spark):
         prefix = next((number[:n] for n in (3, 2, 1) if number[:n] in last), None)
         want[key] = (prefix and ".".join(map(str, prefix)), last.get(prefix))
     assert {r["p_partkey"]: (r["prefix"], r["entry"]) for r in registry.QUERIES["longest_prefix"](spark, SF).collect()} == want
+
+
+def test_best_evidence_compares_all_words_and_keeps_all_pages(spark):
+    items, want = [(r["item_id"], word_set(r["text"])) for r in rows(spark, "benchmark")], {}
+    for page in rows(spark, "pages"):
+        words = title(page["html"])
+        found = [(-round(len(words & w) / len(words | w), 9), i) for i, w in items if words & w]
+        want[page["page_id"]] = (min(found)[1], -min(found)[0]) if found else (None, 0.0)
+    assert {r["page_id"]: (r["item_id"], pytest.approx(r["similarity"], abs=2e-9)) for r in registry.QUERIES["best_evidence"](spark, SF).collect()} == want

@@ -41,3 +41,11 @@ def test_best_evidence_compares_all_words_and_keeps_all_pages(spark):
         found = [(-round(len(words & w) / len(words | w), 9), i) for i, w in items if words & w]
         want[page["page_id"]] = (min(found)[1], -min(found)[0]) if found else (None, 0.0)
     assert {r["page_id"]: (r["item_id"], pytest.approx(r["similarity"], abs=2e-9)) for r in registry.QUERIES["best_evidence"](spark, SF).collect()} == want
+
+
+def test_bookmarks_meet_every_page(spark, tmp_path):
+    page = "<title>{}</title><h1>x</h1>".format
+    spark.createDataFrame([(3, page("Alpha beta")), (4, page("other words")), (6, page("alpha"))], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame([(3, "alpha beta"), (4, "alpha beta"), (5, "alpha beta"), (6, "alpha beta")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {r["key"]: (r["warning"], r["similarity"]) for r in registry.QUERIES["bookmark_disagreement"](spark, str(tmp_path)).collect()}
+    assert got == {3: ("same", 1.0), 4: ("different title", 0.0), 5: ("missing", 0.0), 6: ("same", 0.5)}

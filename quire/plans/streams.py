@@ -25,8 +25,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per user and event type within the watermark."""
-    return _run(spark, events.first_seen(_events(spark, sf_dir), ["user_id", "event_type"], "ts").select("user_id", "event_type"), "first-seen")
+    """One row per user and event type of all event files."""
+    return _run(spark, events.first_seen(_events(spark, sf_dir), ["user_id", "event_type"]).select("user_id", "event_type"), "first-seen")
 
 
 def stream_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,9 +14,9 @@ def event_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def first_seen(stream: DataFrame, keys: list[str], time: str, late: str = "1 day") -> DataFrame:
-    """Rows whose keys were not seen before within the watermark; state older than it is dropped."""
-    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
+def first_seen(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per distinct keys, in whatever order of time the rows come. State holds each key seen, so keys must be bounded."""
+    return stream.dropDuplicates(keys)
 
 
 def carry_forward(stream: DataFrame, key: str, order: str, header: str, value: str) -> DataFrame:

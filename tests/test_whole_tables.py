@@ -49,3 +49,11 @@ def test_bookmarks_meet_every_page(spark, tmp_path):
     spark.createDataFrame([(3, "alpha beta"), (4, "alpha beta"), (5, "alpha beta"), (6, "alpha beta")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     got = {r["key"]: (r["warning"], r["similarity"]) for r in registry.QUERIES["bookmark_disagreement"](spark, str(tmp_path)).collect()}
     assert got == {3: ("same", 1.0), 4: ("different title", 0.0), 5: ("missing", 0.0), 6: ("same", 0.5)}
+
+
+def test_first_seen_over_files_in_mixed_time_order(spark, tmp_path):
+    events = rows(spark, "events")
+    spark.read.parquet(f"{SF}/events.parquet").repartition(8).write.parquet(str(tmp_path / "events.parquet"))
+    # The query takes events.parquet as a pattern of files; a directory of several files stands in for it.
+    got = [tuple(r) for r in registry.QUERIES["stream_first_seen"](spark, str(tmp_path)).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(r["user_id"], r["event_type"]) for r in events}

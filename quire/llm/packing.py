@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,28 +17,47 @@ from tokenizers import Tokenizer
 from tokenizers import normalizers as N
 from tokenizers import pre_tokenizers as P
 
-from quire.llm.tokens import GATHER, Cores, PieceMemo, marked
+from quire.llm.tokens import Cores, Pieces, marked, runs
 
 _SCHEMA = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 _ROWS = 4096
+_IDS: dict[str, Pieces] = {}
 
 
-def id_memo(path: str, limit: int = 500_000) -> PieceMemo:
-    """Little-endian 32-bit ids of pieces, for a vocabulary that marks the ends of words with </w> and folds case.
+def id_pieces(path: str) -> Pieces:
+    """Little-endian 32-bit ids of pieces, for a vocabulary that marks the ends of words with </w> and folds case; kept for the life of a worker.
 
     Words of plain letters are folded here and go to the same model without its normaliser and pattern, which
     leave such words as they are.
     """
-    plain = Tokenizer.from_file(path)
-    plain.normalizer = N.Sequence([])
-    plain.pre_tokenizer = P.Sequence([P.WhitespaceSplit(), P.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])
-    mark = marked(plain, end="</w>")
-
-    def cut(ids: np.ndarray, cuts: list[int]) -> list[bytes]:
-        raw = ids.astype("<u4").tobytes()
-        return [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-    return PieceMemo(path, Cores(plain, {" ": mark, "\n": mark}, True, cut, limit), lambda ids: array("I", ids).tobytes(), fold=True, limit=limit)
+    if path not in _IDS:
+        plain = Tokenizer.from_file(path)
+        plain.normalizer = N.Sequence([])
+        plain.pre_tokenizer = P.Sequence([P.WhitespaceSplit(), P.ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])
+
+        def cut(ids: np.ndarray, cuts: list[int]) -> list[bytes]:
+            raw = ids.astype("<u4").tobytes()
+            return [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+        _IDS[path] = Pieces(path, Cores(plain, {" ": marked(plain, end="</w>")}, True, cut), lambda ids: array("I", ids).tobytes(), fold=True)
+    return _IDS[path]
+
+
+def token_ids(texts: pa.StringArray, path: str) -> Iterator[np.ndarray]:
+    """The token ids of each whole text. The tokenizer drops white space and never joins over it, so cutting at blanks and line ends gives the same ids."""
+    cut = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+    codes = cut.flatten().dictionary_encode()
+    values = id_pieces(path).values(codes.dictionary)
+    flat = np.frombuffer(b"".join(values), "<u4")
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    begins = np.cumsum(sizes) - sizes
+    at = codes.indices.to_numpy()
+    n = sizes[at]
+    ends = np.cumsum(n)
+    ids = flat[np.repeat(begins[at] - (ends - n), n) + np.arange(n.sum())]
+    bounds = np.concatenate(([0], ends))[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+        yield ids[a:b]
 
 
 class Levels:
@@ -108,7 +128,7 @@ def pack(docs: DataFrame, *, path: str | None = None, id_col: str = "doc_id", te
     path = path or public_tokenizers.path("word_bpe_49k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, levels, made = id_memo(path), Levels(capacity), 0
+        levels, made = Levels(capacity), 0
         base, end, out = TaskContext.get().partitionId() << 36, array("I", [end_id]).tobytes(), []
 
         def emit(window: list) -> None:
@@ -125,25 +145,10 @@ def pack(docs: DataFrame, *, path: str | None = None, id_col: str = "doc_id", te
             return made_batch
 
         def documents() -> Iterator[tuple]:
-            waiting: list[tuple] = []
-            size = 0
-
-            def settle() -> Iterator[tuple]:
-                memo.learn(set().union(*(p for _, p in waiting)))
-                for doc, pieces in waiting:
-                    yield doc, b"".join(map(memo.known.__getitem__, pieces)) + end
-                waiting.clear()
-
             for b in batches:
-                for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                    text = text.as_py() or ""
-                    # The tokenizer drops white space and never joins over it; cutting at blanks and line ends gives the same ids.
-                    waiting.append((doc, text.replace("\n", " ").split(" ")))
-                    size += len(text)
-                    if size > GATHER:
-                        yield from settle()
-                        size = 0
-            yield from settle()
+                ids = b.column(0).to_pylist()
+                made = (t.tobytes() + end for part in runs(b.column(1)) for t in token_ids(part, path))
+                yield from zip(ids, made, strict=True)
 
         for doc, ids in documents():
             total, at = len(ids) // 4, 0

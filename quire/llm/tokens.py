@@ -5,21 +5,21 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 #: Texts longer than this many characters are encoded as overlapping chunks.
 CHUNK, OVERLAP = 1 << 15, 256
-#: Entries a worker's memo holds before it starts anew.
-MEMO = 400_000
-#: Texts gathered before their new pieces are encoded together.
-GATHER = 1 << 22
+#: Words that one generation of a worker's memo holds; longer keys than LONG_KEY characters are not remembered.
+MEMO, LONG_KEY = 400_000, 64
+#: Bytes of text whose pieces are looked up together.
+GATHER = 1 << 23
 
 # Characters beside which a single space is certainly the start of a new pre-token: they are no white space,
 # and in byte-level patterns only white space can extend over a following space.
@@ -27,7 +27,11 @@ _PLAIN = r"!-~\u00c0-\u02af\u0370-\u0482\u048a-\u0556"
 _BOUNDARY = re.compile(f"(?<=[{_PLAIN}]) (?=[{_PLAIN}])")
 _RARE_SPACE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 
+# A plain word, perhaps behind a line end, and the signs that may follow it.
+_WORD, _SIGNS = r"^\n?[A-Za-zÀ-ÖØ-öø-ÿ]+\z", ".,;:!?%*&$#|"
+
 _LOADED: dict[str, Tokenizer] = {}
+_COUNTS: dict[str, object] = {}
 
 
 def load(path: str) -> Tokenizer:
@@ -38,11 +42,37 @@ def load(path: str) -> Tokenizer:
     return _LOADED[path]
 
 
-def stable_pieces(text: str) -> list[str]:
-    """The text cut at single spaces and line ends that certainly start a pre-token; a piece keeps a line end, and all but the first have lost a space."""
+def marked_pieces(text: str) -> str:
+    """The text with NUL for each single space (and before each line end) that certainly starts a pre-token; a piece keeps a line end, and all but the first have lost a space."""
     if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] == " " or text[-1:] == " " or _RARE_SPACE.search(text):
-        return _BOUNDARY.split(text)
-    return text.replace("\n", " \n").split(" ")
+        return _BOUNDARY.sub("\0", text)
+    return text.replace("\n", "\0\n").replace(" ", "\0")
+
+
+class Memo:
+    """Values by key in two generations: when the young one is full it becomes the old one, so keys in use stay and others go."""
+
+    def __init__(self, limit: int) -> None:
+        self.young, self.old, self.limit = {}, {}, limit
+
+    def values(self, keys: list[str], make) -> list:  # noqa: ANN001
+        """The values of distinct keys; ``make`` gives those of new ones together."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        out = list(map(young.get, keys))
+        new = []
+        for i in [i for i, v in enumerate(out) if v is None]:
+            if (v := old.get(keys[i])) is None:
+                new.append(i)
+            else:
+                out[i] = young[keys[i]] = v
+        if new:
+            for i, v in zip(new, make([keys[i] for i in new]), strict=True):
+                out[i] = v
+                if len(keys[i]) <= LONG_KEY:
+                    young[keys[i]] = v
+        return out
 
 
 class Cores:
@@ -52,69 +82,77 @@ class Cores:
     tokens begin, without offsets.
     """
 
-    def __init__(self, tokenizer: Tokenizer, marks: dict[str, np.ndarray], at_end: bool, value, limit: int) -> None:  # noqa: ANN001
-        self.known: dict = {}
-        self.tokenizer, self.marks, self.at_end, self.value, self.limit = tokenizer, marks, at_end, value, limit
+    def __init__(self, tokenizer: Tokenizer, marks: dict[str, np.ndarray], at_end: bool, value) -> None:  # noqa: ANN001
+        self.tokenizer, self.marks, self.at_end, self.value = tokenizer, marks, at_end, value
 
-    def learn(self, words: set[str]) -> None:
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = list(words)
+    def make(self, words: list[str]) -> list:
+        out: list = [None] * len(words)
         for lead, mark in self.marks.items():
-            mine = [w for w in new if w[0] == lead]
+            mine = [i for i, w in enumerate(words) if w[0] == lead]
             for at in range(0, len(mine), 2000):
                 part = mine[at : at + 2000]
-                (made,) = self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)
+                (made,) = self.tokenizer.encode_batch_fast(["".join([words[i] for i in part])], add_special_tokens=False)
                 ids = np.array(made.ids, np.uint32)
                 cuts = np.flatnonzero(mark[ids])
                 cuts = np.append(0, cuts + 1) if self.at_end else np.append(cuts, len(ids))
                 if len(cuts) != len(part) + 1:
                     raise ValueError("the vocabulary does not mark the bounds of words")
-                self.known.update(zip(part, self.value(ids, cuts.tolist()), strict=True))
+                for i, v in zip(part, self.value(ids, cuts.tolist()), strict=True):
+                    out[i] = v
+        return out
 
 
-class PieceMemo:
-    """What a function of a piece's token ids gives, remembered per piece, with a bounded number of entries.
+class Pieces:
+    """What a function of a piece's token ids gives, for the distinct pieces of many texts at a time.
 
     A piece of letters and then punctuation is the sum of the two, whose ids never depend on each other; other
-    pieces are encoded as they are.
+    pieces are encoded as they are. Values are remembered per word (and per other piece) in bounded memory.
     """
 
-    _SIGNS = ".,;:!?%*&$#|"
-    _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-
     def __init__(self, path: str, cores: Cores, one, *, fold: bool = False, limit: int = MEMO) -> None:  # noqa: ANN001
-        self.known: dict = {}
-        self.tokenizer, self.cores, self.one, self.fold, self.limit, self.ends = load(path), cores, one, fold, limit, {"": one([])}
-
-    def learn(self, pieces: set[str]) -> None:
-        new = pieces.difference(self.known)
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = pieces
-        plain, rest, signs, latin, fold = [], [], self._SIGNS, self._LATIN.fullmatch, self.fold
-        for p in new:
-            body = p.rstrip(signs)
-            word = body[1:] if body[:1] == "\n" else body
-            if word.isalpha() and (word.isascii() or latin(word)):
-                plain.append((p, (" " if word is body else "\n") + (word.lower() if fold else word), p[len(body) :]))
-            else:
-                rest.append(p)
-        self.cores.learn({w for _, w, _ in plain})
-        for end in {e for _, _, e in plain}.difference(self.ends):
-            if len(self.ends) > 10_000:
-                self.ends = {"": self.one([])}
-            self.ends[end] = self.one(self.tokenizer.encode(end, add_special_tokens=False).ids)
-        known, cores, ends, one = self.known, self.cores.known, self.ends, self.one
-        for p, w, e in plain:
-            if e not in ends:
-                ends[e] = one(self.tokenizer.encode(e, add_special_tokens=False).ids)
-            known[p] = cores[w] + ends[e]
-        for at in range(0, len(rest), 20_000):
-            part = rest[at : at + 20_000]
-            made = self.tokenizer.encode_batch_fast([p if p[:1] == "\n" else " " + p for p in part], add_special_tokens=False)
-            self.known.update(zip(part, (one(e.ids) for e in made), strict=True))
+        self.tokenizer, self.cores, self.one, self.fold = load(path), cores, one, fold
+        self.words, self.ends, self.others = Memo(limit), Memo(limit // 40), Memo(limit // 10)
+
+    def _natively(self, pieces: list[str], lead: str) -> list:
+        out = []
+        for at in range(0, len(pieces), 20_000):
+            made = self.tokenizer.encode_batch_fast([p if p[:1] == "\n" else lead + p for p in pieces[at : at + 20_000]], add_special_tokens=False)
+            out += [self.one(e.ids) for e in made]
+        return out
+
+    def values(self, pieces: pa.StringArray) -> list:
+        """The values of distinct pieces, each taken as if a space (or the line end it starts with) were before it."""
+        body = pc.utf8_rtrim(pieces, characters=_SIGNS)
+        plain = pc.match_substring_regex(body, pattern=_WORD)
+        cores = body.filter(plain)
+        cores = (pc.utf8_lower(cores) if self.fold else cores).dictionary_encode()
+        words = [w if w[0] == "\n" else " " + w for w in cores.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        known = self.words.values(words, self.cores.make)
+        names, at = pieces.to_numpy(zero_copy_only=False), np.flatnonzero(plain.to_numpy(zero_copy_only=False))
+        out = np.empty(len(pieces), object)
+        out[at] = [known[c] for c in cores.indices.to_numpy().tolist()]
+        cut = (pc.binary_length(pieces).to_numpy() - pc.binary_length(body).to_numpy())[at]
+        signed = at[cut > 0].tolist()
+        ends = [names[i][-n:] for i, n in zip(signed, cut[cut > 0].tolist(), strict=True)]
+        distinct = list(dict.fromkeys(ends))
+        value = dict(zip(distinct, self.ends.values(distinct, lambda new: self._natively(new, "")), strict=True))
+        for i, e in zip(signed, ends, strict=True):
+            out[i] = out[i] + value[e]
+        rest = np.flatnonzero(~plain.to_numpy(zero_copy_only=False)).tolist()
+        for i, v in zip(rest, self.others.values([names[i] for i in rest], lambda new: self._natively(new, " ")), strict=True):
+            out[i] = v
+        return out.tolist()
+
+
+def runs(texts: pa.StringArray, size: int = GATHER) -> Iterator[pa.StringArray]:
+    """Slices of about ``size`` bytes, one text at least."""
+    texts = pc.fill_null(texts, "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield texts[at:stop]
+        at = stop
 
 
 def marked(tokenizer: Tokenizer, *, start: str = "", end: str = "") -> np.ndarray:
@@ -125,11 +163,35 @@ def marked(tokenizer: Tokenizer, *, start: str = "", end: str = "") -> np.ndarra
     return out
 
 
-def count_memo(path: str) -> PieceMemo:
-    """Token counts of pieces, for a byte-level vocabulary (its signs for a space and a line end are U+0120 and U+010A)."""
-    tokenizer = load(path)
-    marks = {" ": marked(tokenizer, start="\u0120"), "\n": marked(tokenizer, start="\u010a")}
-    return PieceMemo(path, Cores(tokenizer, marks, False, lambda ids, cuts: [b - a for a, b in zip(cuts, cuts[1:], strict=False)], MEMO), len)
+def count_pieces(path: str) -> Pieces:
+    """Token counts of pieces, for a byte-level vocabulary (its signs for a space and a line end are U+0120 and U+010A); kept for the life of a worker."""
+    if path not in _COUNTS:
+        tokenizer = load(path)
+        marks = {" ": marked(tokenizer, start="\u0120"), "\n": marked(tokenizer, start="\u010a")}
+        _COUNTS[path] = Pieces(path, Cores(tokenizer, marks, False, lambda ids, cuts: np.diff(cuts).tolist()), len)
+    return _COUNTS[path]
+
+
+def piecewise_counts(texts: list[str], path: str) -> np.ndarray:
+    """Token counts of whole texts from the counts of their pieces."""
+    native = [i for i, t in enumerate(texts) if "\0" in t]
+    cut = pc.split_pattern(pa.array([marked_pieces(t) if "\0" not in t else "" for t in texts], pa.large_string()), "\0")
+    flat, begins = cut.flatten(), cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
+    codes = flat.dictionary_encode()
+    values, at = np.zeros(len(codes.dictionary), np.int64), codes.indices.to_numpy().copy()
+    # The first piece has lost no space, so it is encoded as it stands.
+    firsts = flat.take(pa.array(begins)).to_numpy(zero_copy_only=False).tolist()
+    heads = np.array([len(e) for e in load(path).encode_batch_fast(firsts, add_special_tokens=False)], np.int64)
+    later = np.ones(len(at), bool)
+    later[begins] = False
+    used = np.unique(at[later])
+    values[used] = count_pieces(path).values(codes.dictionary.take(pa.array(used)))
+    counts = values[at] * later
+    counts[begins] = heads
+    sums = np.add.reduceat(counts, begins) if len(begins) else np.empty(0, np.int64)
+    for i in native:
+        sums[i] = len(load(path).encode(texts[i], add_special_tokens=False))
+    return sums
 
 
 def spliced_count(text: str, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
@@ -180,30 +242,17 @@ def token_counts(docs: DataFrame, *, path: str | None = None, id_col: str = "doc
     path = path or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = count_memo(path)
         for b in batches:
-            texts, counts, waiting, size = [t or "" for t in b.column(1).to_pylist()], [0] * b.num_rows, [], 0
-
-            def settle() -> None:
-                first = load(path).encode_batch_fast([p[0] for _, p in waiting], add_special_tokens=False)
-                memo.learn(set().union(*(p[1:] for _, p in waiting)))
-                for (i, p), head in zip(waiting, first, strict=True):
-                    counts[i] = len(head) + sum(map(memo.known.__getitem__, islice(p, 1, None)))
-                waiting.clear()
-
-            for i, t in enumerate(texts):
-                if len(t) > chunk:
-                    counts[i] = spliced_count(t, path, chunk, overlap)
-                elif t:
-                    waiting.append((i, stable_pieces(t)))
-                    size += len(t)
-                    if size > GATHER:
-                        settle()
-                        size = 0
-            if waiting:
-                settle()
-            sizes = [len(t.encode("utf-8", "surrogatepass")) for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"])
+            counts = []
+            for part in runs(b.column(1)):
+                texts = part.to_numpy(zero_copy_only=False).tolist()
+                made = piecewise_counts([t if len(t) <= chunk else "" for t in texts], path)
+                for i, t in enumerate(texts):
+                    if len(t) > chunk:
+                        made[i] = spliced_count(t, path, chunk, overlap)
+                counts.append(made)
+            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), sizes, pa.array(np.concatenate([np.empty(0, np.int64), *counts]))], names=["id", "n_bytes", "n_tokens"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(run, "id long, n_bytes long, n_tokens long")

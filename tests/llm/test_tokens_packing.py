@@ -1,8 +1,8 @@
 import zlib
-from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -12,11 +12,6 @@ BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.pa
 TEXTS = st.text(alphabet=" \n\tabAB.,'1é日 ́\x1c<|>", max_size=80)
 
 
-@cache
-def memos():
-    return tokens.count_memo(BYTES), packing.id_memo(WORDS)
-
-
 def encode(path, text):
     return tokens.load(path).encode(text, add_special_tokens=False).ids
 
@@ -24,10 +19,7 @@ def encode(path, text):
 @given(TEXTS)
 @settings(max_examples=300, deadline=None)
 def test_pieces_count_as_the_whole(text):
-    if text:
-        memo, (first, *rest) = memos()[0], tokens.stable_pieces(text)
-        memo.learn(set(rest))
-        assert len(encode(BYTES, first)) + sum(memo.known[p] for p in rest) == len(encode(BYTES, text))
+    assert tokens.piecewise_counts([text, "", text + "\0"], BYTES).tolist() == [len(encode(BYTES, t)) for t in (text, "", text + "\0")]
 
 
 @given(TEXTS)
@@ -44,9 +36,28 @@ def test_special_strings_and_no_boundaries():
 @given(TEXTS)
 @settings(max_examples=200, deadline=None)
 def test_word_ids(text):
-    memo, pieces = memos()[1], text.replace("\n", " ").split(" ")
-    memo.learn(set(pieces))
-    assert b"".join(memo.known[p] for p in pieces) == np.array(encode(WORDS, text), "<u4").tobytes()
+    assert [ids.tolist() for ids in packing.token_ids(pa.array(["", text]), WORDS)] == [[], encode(WORDS, text)]
+
+
+def test_memo_keeps_what_is_used_and_forgets_the_rest():
+    memo, made = tokens.Memo(3), []
+    make = lambda keys: made.extend(keys) or [k.upper() for k in keys]
+    for _ in range(5):
+        assert memo.values(["a", "b"], make) == ["A", "B"]
+        assert memo.values(["c", "d", "x" * 100], make) == ["C", "D", "X" * 100]
+    assert made.count("a") == 1 and made.count("x" * 100) == 5
+    for i in range(50):
+        memo.values([f"k{i}"], make)
+    assert len(memo.young) + len(memo.old) <= 10 and memo.values(["a"], make) == ["A"] and made.count("a") == 2
+
+
+def test_long_real_texts_are_spliced(spark, small):
+    texts = [r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    assert all(tokens.spliced_count(t, BYTES, 512, 64) == len(encode(BYTES, t)) for t in texts)
+    long = "\n".join(texts)
+    assert len(long) > 4 * tokens.CHUNK and tokens.spliced_count(long, BYTES) == len(encode(BYTES, long))
+    docs = spark.createDataFrame([(1, long), (2, long[:100])], "doc_id long, text string")
+    assert {r["id"]: r["n_tokens"] for r in tokens.token_counts(docs).collect()} == {1: len(encode(BYTES, long)), 2: len(encode(BYTES, long[:100]))}
 
 
 def test_counts_of_odd_rows(odd, none):

@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
@@ -16,9 +17,13 @@ from quire.llm.common import fold, materialize
 
 #: Listed rules (verdict, host, path).
 LISTED = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: A token set is a rule if it occurs in this share of the labelled pages with label 0, and this share of the pages that have it are labelled 0.
-SUPPORT, CONFIDENCE = 0.002, 0.7
-_LABEL = "label:block"
+#: A token set is a rule if it occurs with label 0 on this share of the labelled pages, and LEAST pages at least; if this
+#: share of the labelled pages that have it are labelled 0, and LIFT times as many as of all labelled pages.
+SUPPORT, LEAST, CONFIDENCE, LIFT = 0.002, 5, 0.7, 2.0
+#: A rule has this many items at most. Baskets of more than WIDE items are mined in overlapping parts of WIDE items.
+LENGTH, WIDE = 3, 12
+#: Words in host names that mark a page as one to block, where no labels are given.
+SEEDS = ("casino", "poker", "slots", "bet", "bets", "betting", "pills", "viagra", "pharmacy", "porn", "xxx", "escort", "loans", "warez")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
@@ -69,32 +74,84 @@ class Rules:
         return host, path, None, "block" if blocked else "allow"
 
 
-def mine(pages: DataFrame, labels: DataFrame, *, id_col: str = "page_id", url_col: str = "url", label_id: str = "doc_id", label_col: str = "quality", support: float = SUPPORT, confidence: float = CONFIDENCE) -> list[frozenset[str]]:
-    """Token sets that FP-growth finds with label 0 often and surely enough, without those that a subset makes needless.
+def weak_label(url: str | None) -> int | None:
+    """0 where a word of the host is a seed, else 1; None without a host."""
+    host = split_url(url)[0]
+    return None if not host else 0 if any(w in SEEDS for w in re.split("[^a-z]+", host)) else 1
 
-    Labels of fold 0 are not used. The sets' number is bounded by the support: each holds that share of the labelled
-    pages, and a page has few tokens.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [tokens(u) + ([_LABEL] if y == 0 else []) for u, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], names=["items"])
+def _parts(items: list[int]) -> Iterator[list[int]]:
+    """Parts of at most WIDE items such that any LENGTH items are in one."""
+    if len(items) <= WIDE:
+        yield items
+        return
+    size = WIDE // LENGTH
+    groups = [items[i : i + size] for i in range(0, len(items), size)]
+    for some in combinations(groups, LENGTH):
+        yield sum(some, [])
 
-    known = labels.select(F.col(label_id).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)").where(fold("id") != 0).groupBy("id").agg(F.min("y").alias("y"))
+
+def mine(pages: DataFrame, labels: DataFrame | None = None, *, id_col: str = "page_id", url_col: str = "url", label_id: str = "doc_id", label_col: str = "quality", support: float = SUPPORT, least: int = LEAST, confidence: float = CONFIDENCE, lift: float = LIFT) -> list[frozenset[str]]:
+    """Token sets of at most LENGTH items that go with label 0 often and surely enough, without those that a subset makes needless.
+
+    ``labels`` are joined by id (those of fold 0 are not used); without them ``weak_label`` labels each page.
+    Tokens on fewer pages of label 0 than the support asks for are dropped first, since they are in no such set, and
+    tokens that always occur together count as one item (of the first by name): so neither unique tokens nor copies of
+    one long url make subsets without end. FP-growth then mines pages of label 0, wide baskets in overlapping parts; the
+    sets it finds are counted anew on all labelled pages by an index on their rarest item, so counts are exact.
+    What reaches the driver are the rules. Each has its support's share of pages, so their number is at most that of
+    the sets of an average page over the support.
+    """
+    spark, weak = pages.sparkSession, labels is None
     urls = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url")).where("url is not null")
-    baskets = materialize(urls.join(known, "id").select("url", "y").mapInArrow(run, "items array<string>"), "url-baskets")
-    if baskets.isEmpty():
+    if not weak:
+        known = labels.select(F.col(label_id).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)").where(fold("id") != 0).groupBy("id").agg(F.min("y").alias("y"))
+        urls = urls.join(known, "id").select("url", "y")
+    else:
+        urls = urls.select("url", F.lit(None).cast("int").alias("y"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(u, weak_label(u) if weak else y) for u, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            rows = [(tokens(u), y) for u, y in rows if y is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.list_(pa.string())), pa.array([y for _, y in rows], pa.int32())], names=["tokens", "y"])
+
+    labelled = materialize(urls.mapInArrow(cut, "tokens array<string>, y int").withColumn("row", F.monotonically_increasing_id()), "url-labelled")
+    n, blocked = labelled.agg(F.count("*"), F.count_if(F.col("y") == 0)).first()
+    floor = max(least, int(-(-support * n // 1)))
+    if blocked < floor:
         return []
-    sets = materialize(FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets).freqItemsets, "url-itemsets")
-    sets = sets.select(F.array_sort("items").alias("items"), "freq")
-    bad = sets.where(F.array_contains("items", _LABEL) & (F.size("items") > 1)).select(F.array_remove("items", _LABEL).alias("items"), F.col("freq").alias("blocked"))
-    sure = bad.join(sets, "items").where(F.col("blocked") >= confidence * F.col("freq"))
-    kept: list[frozenset[str]] = []
-    for r in sorted((frozenset(r["items"]) for r in sure.select("items").collect()), key=lambda s: (len(s), sorted(s))):
-        if not any(k <= r for k in kept):
-            kept.append(r)
-    return kept
+    share = max(confidence, min(1.0, lift * blocked / n))
+    each = labelled.select("row", "y", F.explode("tokens").alias("token"))
+    # Tokens of the same labelled pages: as many, with the same sums of two hashes of the pages.
+    spots = [F.sum(F.xxhash64("row", F.lit(i)) % (1 << 40)).alias(f"h{i}") for i in range(2)]
+    often = each.groupBy("token").agg(F.count_if(F.col("y") == 0).alias("bad"), F.count("*").alias("n"), *spots).where(F.col("bad") >= floor)
+    names = materialize(often.groupBy("n", "h0", "h1").agg(F.min("token").alias("item"), F.min("n").alias("pages")).select("item", "pages"), "url-items")
+    # The names are broadcast: each is on the support's share of pages.
+    chosen = {r["item"]: i for i, r in enumerate(names.orderBy("pages", "item").collect())}
+    shared = spark.sparkContext.broadcast(chosen)
+
+    def baskets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [sorted(shared.value[t] for t in ts if t in shared.value) for ts in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), b.column(1)], names=["items", "y"])
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for items in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(list(_parts(items)), pa.list_(pa.int32()))], names=["items"])
+
+    rows = materialize(labelled.select("tokens", "y").mapInArrow(baskets, "items array<int>, y int").where("size(items) > 0").groupBy("items").agg(F.count("*").alias("n"), F.count_if(F.col("y") == 0).alias("bad")), "url-baskets")
+    bad = materialize(rows.where("bad > 0").select("items", F.explode(F.sequence(F.lit(1), F.col("bad")))).select("items").mapInArrow(parts, "items array<int>"), "url-parts")
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, floor / max(1, bad.count())), minConfidence=1.0).fit(bad).freqItemsets
+    sets = materialize(found.where(F.size("items") <= LENGTH).select(F.array_sort("items").alias("rule")).distinct(), "url-itemsets")
+    # Items are numbered by how many pages they are on, so a set's first is its rarest.
+    met = sets.withColumn("item", F.col("rule")[0]).join(rows.select("items", "n", "bad", F.explode("items").alias("item")), "item").where(F.size(F.array_except("rule", "items")) == 0)
+    sure = materialize(met.groupBy("rule").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where((F.col("bad") >= floor) & (F.col("bad") >= share * F.col("n"))).select("rule"), "url-sure")
+    smaller = F.filter(F.transform(F.sequence(F.lit(1), F.lit((1 << LENGTH) - 1)), lambda m: F.filter("rule", lambda x, i: F.call_function("shiftright", m, i).bitwiseAND(F.lit(1)) == 1)), lambda r: (F.size(r) > 0) & (F.size(r) < F.size("rule")))
+    needless = sure.select("rule", F.explode(smaller).alias("part")).join(sure.select(F.col("rule").alias("part")), "part").select("rule").distinct()
+    token = {i: t for t, i in chosen.items()}
+    return [frozenset(token[i] for i in r["rule"]) for r in sure.join(needless, "rule", "left_anti").orderBy("rule").collect()]
 
 
 def judge(pages: DataFrame, mined: list[frozenset[str]], *, listed: tuple = LISTED, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -126,7 +183,6 @@ def judge(pages: DataFrame, mined: list[frozenset[str]], *, listed: tuple = LIST
 
 
 def query(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001
-    """op3: host, path, rule and verdict of every page's url."""
+    """op3: host, path, rule and verdict of every page's url. The labels table is of documents, so pages get weak labels."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    mined = mine(pages, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judge(pages, mined).withColumnRenamed("id", "page_id")
+    return judge(pages, mine(pages)).withColumnRenamed("id", "page_id")

@@ -46,6 +46,13 @@ def drop_paths(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def fold(id_column: str) -> Column:
     """crc32 of the id's decimal text modulo ``FOLDS``; null ids are in fold 0, so they are never learned from."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % FOLDS, F.lit(0))

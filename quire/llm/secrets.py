@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -13,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import fresh, materialize
 
 #: Base kinds in their listed order; the method's own kinds follow.
 BASE_KINDS = ("assign", "access", "hex")
@@ -62,15 +63,30 @@ def candidate_spans(text: str, base: list[tuple[str, int, int, str]]) -> list[tu
         found += [("bearer", m.start(1), m.end(1), m[1]) for m in _BEARER.finditer(text) if _live(m[1])]
     found += [("vendor", m.start(), m.end(), m[0]) for m in _VENDOR.finditer(text) if _live(m[0])]
     found += [("opaque", m.start(), m.end(), m[0]) for m in _OPAQUE.finditer(text) if _live(m[0])]
-    taken = [(s, e) for _, s, e, _ in base]
+    starts, ends = _merged([(s, e) for _, s, e, _ in base])
     out: list[tuple[str, int, int, str]] = []
     for span in sorted(found, key=lambda s: (ADDED_KINDS.index(s[0]), s[1])):
-        if not any(s < span[2] and span[1] < e for s, e in taken):
-            taken.append((span[1], span[2]))
+        at = bisect_left(ends, span[1] + 1)
+        if at == len(starts) or starts[at] >= span[2]:
+            starts.insert(at, span[1])
+            ends.insert(at, span[2])
             out.append(span)
     return out
 
 
+def _merged(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of disjoint spans that cover the same positions, both rising."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s, e in sorted(spans):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
 _SPAN = "struct<kind:string,start:bigint,end:bigint,hash:string>"
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("hash", pa.string())]))
 
@@ -142,12 +158,12 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     broadcasts it below its own threshold and else shuffles both sides.
     """
     found = secret_scan(docs, id_col=id_col, text_col=text_col, **options)
-    spans = materialize(found.where("size(base) + size(added) > 0").select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.concat("base", "added").alias("_spans")).dropDuplicates(["_id", "_key"]), "secrets-spans")
-    columns = docs.columns
-    joined = docs.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_key")), "left")
+    columns, by, key, at = docs.columns, fresh(docs, "secret_id"), fresh(docs, "secret_key"), fresh(docs, "secret_spans")
+    spans = materialize(found.where("size(base) + size(added) > 0").select(F.col("id").alias(by), F.col("text_key").alias(key), F.concat("base", "added").alias(at)).dropDuplicates([by, key]), "secrets-spans")
+    joined = docs.join(spans, F.col(id_col).cast("long").eqNullSafe(F.col(by)) & (F.xxhash64(F.col(text_col).cast("string")) == F.col(key)), "left")
     # Spans overlap only within a row; merged from the left, the text between them is kept.
-    ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"))))
+    ordered = F.array_sort(F.transform(at, lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"))))
     empty = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
     step = lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(F.concat(acc["text"], F.substring(F.col(text_col), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("text"), s["end"].alias("at"))).otherwise(F.struct(acc["text"].alias("text"), F.greatest(acc["at"], s["end"]).alias("at")))
     clean = F.aggregate(ordered, empty, step, lambda acc: F.concat(acc["text"], F.substring(F.col(text_col), acc["at"] + 1, F.length(text_col))))
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(clean)).select(*columns)
+    return joined.withColumn(text_col, F.when(F.col(at).isNull(), F.col(text_col)).otherwise(clean)).select(*columns)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import scratch
+from quire.llm.common import materialize, scratch
 
 #: Payloads are cut into segments of this size (continuation records), so that a record stays small in memory.
 SEGMENT = 8 << 20
@@ -57,8 +57,9 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
     others revisits of it; smaller payloads are all responses. A null payload is empty. A null id comes after
     all others, so its row is a response only if all ids of its payload are null. Rows that repeat both id and
     payload are alike and written each. Other columns play no part; an empty table leaves no records.
-    The first of each payload is found by its digest (partial minimum before the shuffle); payloads follow by
-    digest, where the adaptive skew join may split a payload that a third of all rows hold.
+    The first of each payload is found by digest and id alone (partial minimum before the shuffle). Only digests seen
+    more than once are joined back, so rows of other payloads meet no partner and, where that table is small enough
+    for Spark to broadcast, no payload is shuffled; else the adaptive skew join may split a payload of very many rows.
     Spark's text writer puts the members down as they are: the last byte of a member, the highest byte of its
     length, is zero and serves as the line separator. So files appear when their task commits, in any file system.
     """
@@ -79,8 +80,8 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["member"])
 
     source = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload")).withColumn("digest", F.sha1("payload"))
-    firsts = source.groupBy("digest").agg(F.min("id").alias("first"))
-    rows = source.join(firsts, "digest").select("id", "url", "payload", "first")
+    firsts = materialize(source.select("digest", "id").groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "warc-firsts")
+    rows = source.join(firsts, "digest", "left").select("id", "url", "payload", F.coalesce("first", "id").alias("first"))
     rows.mapInArrow(run, "member binary").select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", per_file).text(path)
 
 

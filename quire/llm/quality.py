@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quire.llm.common import held_out
+from quire.llm.containment import _TO_SPACE, Powers, word_hashes
 from quire.llm.sampling import labelled_ids, rate, texts_of
 
 #: Labelled rows of each class that are broadcast at most, latent dimensions, and neighbours that vote.
@@ -33,17 +34,26 @@ def _classes() -> tuple[np.ndarray, int]:
 
 
 _CLASS, _N = _classes()
-WIDTH = _N * _N + 2
+#: Word terms: lower-cased words, hashed to so many.
+WORDS = 1 << 11
+SHAPE = _N * _N + 2
+WIDTH = SHAPE + WORDS
+#: How much the cosine of the words counts against that of the shape.
+WORD_SHARE = 0.25
+_POWERS = Powers()
 
 
 def terms(text: str | None) -> np.ndarray:
-    """Term counts of a whole text: pairs of neighbouring character classes, words equal to the word before, words seen before."""
+    """Term counts of a whole text: pairs of neighbouring character classes, words equal to the word before, words seen before; then hashed words."""
     out = np.zeros(WIDTH, np.float32)
-    codes = _CLASS[np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)]
+    data = (text or "").encode("utf-8", "surrogatepass")
+    codes = _CLASS[np.frombuffer(data, np.uint8)]
     if len(codes) > 1:
         out[: _N * _N] = np.bincount(codes[:-1].astype(np.int32) * _N + codes[1:], minlength=_N * _N)
     words = (text or "").split()
-    out[-2], out[-1] = sum(map(eq, words, words[1:])), len(words) - len(set(words))
+    out[SHAPE - 2], out[SHAPE - 1] = sum(map(eq, words, words[1:])), len(words) - len(set(words))
+    _, h = word_hashes(data.lower().translate(_TO_SPACE), _POWERS)
+    out[SHAPE:] = np.bincount((h >> np.uint64(53)).astype(np.int64), minlength=WORDS)
     return out
 
 
@@ -51,6 +61,15 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+def _axes(rows: np.ndarray, dimensions: int, rounds: int = 4) -> np.ndarray:
+    """The leading right singular vectors, by subspace iteration from a fixed start."""
+    basis = np.random.default_rng(11).standard_normal((rows.shape[1], dimensions + 16)).astype(np.float32)
+    for _ in range(rounds):
+        basis = np.linalg.qr(rows.T @ (rows @ basis))[0]
+    _, _, turn = np.linalg.svd(rows @ basis, full_matrices=False)
+    return np.ascontiguousarray((basis @ turn.T)[:, :dimensions])
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -60,20 +79,24 @@ class Model:
     prior: float
     neighbours: int
 
+    def weighted(self, counts: np.ndarray) -> np.ndarray:
+        """Square roots of the counts by inverse document frequency: unit vectors of the shape and of the words side by side."""
+        scaled = np.sqrt(counts) * self.weights
+        return np.concatenate((_unit(scaled[:, :SHAPE]) * (1 - WORD_SHARE) ** 0.5, _unit(scaled[:, SHAPE:]) * WORD_SHARE**0.5), axis=1)
+
     def latent(self, counts: np.ndarray) -> np.ndarray:
-        scaled = np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)) * self.weights
-        return _unit(_unit(scaled) @ self.axes)
+        return _unit(self.weighted(counts) @ self.axes)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
-        """Similarity-weighted vote of the nearest labelled vectors by exact cosine; the prior where a row has no terms or no similar neighbour."""
+        """Similarity-weighted vote of the nearest labelled vectors by exact cosine; all that tie with the last of them vote too. The prior where a row has no terms or no similar neighbour."""
         if not len(self.vectors):
             return np.full(len(counts), self.prior)
         cosine = np.maximum(self.latent(counts) @ self.vectors.T, 0)
         k = min(self.neighbours, cosine.shape[1])
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.take_along_axis(cosine, near, 1).astype(np.float64) ** SHARPNESS
+        last = np.partition(cosine, -k, axis=1)[:, -k, None]
+        weight = np.where(cosine >= last, cosine, 0).astype(np.float64) ** SHARPNESS
         total = weight.sum(axis=1)
-        vote = (weight * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-12)
+        vote = weight @ self.labels / np.maximum(total, 1e-12)
         return np.clip(np.where((counts.sum(axis=1) > 0) & (total > 1e-9), vote, self.prior), 0, 1)
 
 
@@ -99,8 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         counts[i, r["at"]] = r["n"]
     weights = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 0.1).astype(np.float32)
     model = Model(weights, np.eye(WIDTH, dtype=np.float32), np.empty((0, 1)), y, float(share), neighbours)
-    scaled = _unit(np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)) * weights)
-    model.axes = np.ascontiguousarray(np.linalg.eigh(scaled.T @ scaled)[1][:, -dimensions:])
+    model.axes = _axes(model.weighted(counts), dimensions)
     model.vectors = np.ascontiguousarray(model.latent(counts))
     return model
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -16,15 +17,22 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from quire.llm.common import fold, held_out, materialize
 from quire.llm.sampling import labelled_ids, rate, texts_of
 
-#: Labelled rows of each class, and unlabelled rows, that are learned from at most; lexicon entries kept at most.
-PER_CLASS, UNLABELLED, ENTRIES = 5000, 5000, 600
+#: Labelled rows of each class that are learned from at most.
+PER_CLASS = 5000
 #: A lexicon entry occurs in so many toxic training texts at least, and so much oftener in toxic than in clean ones;
 #: its evidence (the log of how unlikely its share of toxic texts is by chance) outweighs the number of entries tried.
 LEAST, LIFT, EVIDENCE = 3, 8.0, 10.5
 #: Toxic training texts whose signatures agree in this share are copies, of which one is mined.
 SIGNATURE, SAME = 32, 0.5
-#: Voters of their own; the other entries are dealt to so many lexicons.
-SINGLE, SHARED = 12, 4
+#: Lexicons of words, and as many of beginnings, to which the entries are dealt.
+LEXICONS = 4
+#: Patterns that vote without any label: shouting, runs of marks, disguised spellings, a threat or insult to "you".
+PATTERNS = (
+    r"(?:\b[A-Z]{4,}\b\W+){3}",
+    r"[!?]{3,}",
+    r"\b[A-Za-z]+[*@#$]+[A-Za-z]+\b|\b[A-Za-z]+[013457][A-Za-z]+[013457]?[A-Za-z]*\b",
+    r"(?i)\b(?:kill|hurt|hate|die|shut up)\b[^.!?]{0,20}\b(?:you|yourself)\b|\byou\b[^.!?]{0,12}\b(?:idiot|moron|stupid|dumb|trash|scum|loser)\b",
+)
 PREFIXES = (3, 4, 5)
 _EDGE = "".join(chr(i) for i in range(128) if not chr(i).isalnum()) + "«»„“”‘’¿¡…–—"
 
@@ -72,8 +80,16 @@ def distinct_ids(toxic: DataFrame) -> list[int]:
     return ids
 
 
-def mine(sample: DataFrame, per_class: dict[int, int], *, entries: int = ENTRIES) -> list[str]:
-    """The entries most typical of toxic texts of the sample, by document frequency summed over partitions."""
+_VOICES = [re.compile(p) for p in PATTERNS]
+
+
+def patterns(text: str | None) -> int:
+    """Which patterns a whole text holds, as bits."""
+    return sum(1 << i for i, p in enumerate(_VOICES) if text and p.search(text))
+
+
+def mine(sample: DataFrame, per_class: dict[int, int]) -> list[str]:
+    """All entries typical enough of toxic texts of the sample, by document frequency summed over partitions; the sample bounds their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -91,7 +107,7 @@ def mine(sample: DataFrame, per_class: dict[int, int], *, entries: int = ENTRIES
     share = per_class[1] / max(1, per_class[1] + per_class[0])
     t, c = F.col("toxic"), F.col("clean")
     evidence = t * F.log(t / (t + c) / share) + F.when(c > 0, c * F.log(c / (t + c) / max(1e-9, 1 - share))).otherwise(0)
-    return [r["entry"] for r in found.where((t >= LEAST) & (lift >= LIFT) & (evidence >= EVIDENCE)).orderBy(F.desc("toxic"), "entry").limit(entries).collect()]
+    return [r["entry"] for r in found.where((t >= LEAST) & (lift >= LIFT) & (evidence >= EVIDENCE)).orderBy(F.desc("toxic"), "entry").collect()]
 
 
 class LabelModel:
@@ -105,12 +121,12 @@ class LabelModel:
     def __init__(self, prior: float, rounds: int = 25) -> None:
         self.prior, self.rounds = min(max(prior, 0.01), 0.99), rounds
 
-    def _run(self, votes: np.ndarray, q: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    def _run(self, votes: np.ndarray, counts: np.ndarray, q: np.ndarray, weight: np.ndarray) -> np.ndarray:
         onehot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(np.float64)
         for _ in range(self.rounds):
             chances = []
             for p in (1 - q, q):
-                seen = np.einsum("n,nmv->mv", p, onehot) + np.array([0.1, 0.2, 0.1])
+                seen = np.einsum("n,nmv->mv", p * counts, onehot) + np.array([0.1, 0.2, 0.1])
                 chances.append(seen / seen.sum(axis=1, keepdims=True))
             self.chances = np.array(chances)
             ratio = np.log(self.chances[1]) - np.log(self.chances[0])
@@ -118,52 +134,62 @@ class LabelModel:
             q = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         return q
 
-    def fit(self, votes: np.ndarray) -> np.ndarray:
-        """Posterior chances of label 1."""
+    def fit(self, votes: np.ndarray, counts: np.ndarray | None = None, start: np.ndarray | None = None) -> np.ndarray:
+        """Posterior chances of label 1 of rows of votes that occur so many times each."""
         n, m = votes.shape
         if not n or not m:
             return np.full(n, self.prior)
-        start = np.where(votes.sum(axis=1) > 0, 0.9, 0.05 * np.ones(n))
-        centred = votes - votes.mean(axis=0)
-        norm = np.sqrt(np.maximum((centred**2).sum(axis=0), 1e-9))
-        alike = np.abs(centred.T @ centred / np.outer(norm, norm))
+        counts = np.ones(n) if counts is None else counts
+        start = np.where(votes.sum(axis=1) > 0, 0.9, 0.05 * np.ones(n)) if start is None else start
+        centred = votes - np.average(votes, axis=0, weights=counts)
+        norm = np.sqrt(np.maximum((centred**2 * counts[:, None]).sum(axis=0), 1e-9))
+        alike = np.abs((centred * counts[:, None]).T @ centred / np.outer(norm, norm))
         alike = np.where(alike > 0.9, alike, 0)
         np.fill_diagonal(alike, 1)
         self.weights = 1 / alike.sum(axis=1)
-        q = self._run(votes, start, self.weights)
+        q = self._run(votes, counts, start, self.weights)
         rest = np.zeros((m, m))
         for y, p in enumerate((1 - q, q)):
             centred = votes - (self.chances[y] @ np.array([-1, 0, 1.0]))
-            rest += (centred * p[:, None]).T @ centred
+            rest += (centred * (p * counts)[:, None]).T @ centred
         scale = np.sqrt(np.maximum(np.diag(rest), 1e-9))
         self.correlations = rest / np.outer(scale, scale)
         linked = np.where(np.abs(self.correlations) > 0.2, np.abs(self.correlations), 0)
         np.fill_diagonal(linked, 1)
         self.weights = 1 / linked.sum(axis=1)
-        return self._run(votes, q, self.weights)
-
-
-def vote(hits: list[list[int]], lexicon: list[str]) -> np.ndarray:
-    """Votes by document and voter: single words and beginnings, lexicons dealt from the others, density, and two voters for clean."""
-    beginnings = [i for i, w in enumerate(lexicon) if w.endswith("-")]
-    words = [i for i, w in enumerate(lexicon) if not w.endswith("-")]
-    voter_of: dict[int, int] = {}
-    n = 0
-    for part in (words, beginnings):
-        for rank, i in enumerate(part):
-            voter_of[i] = n + (rank if rank < SINGLE else SINGLE + rank % SHARED)
-        n += SINGLE + SHARED
-    out, is_word = np.zeros((len(hits), n + 3), np.int8), set(words)
-    for d, found in enumerate(hits):
-        for i in found:
-            out[d, voter_of[i]] = 1
-        got = sum(i in is_word for i in found)
-        out[d, n] = 1 if len(found) >= 3 else 0
-        out[d, n + 1] = 0 if got else -1
-        out[d, n + 2] = 0 if len(found) > got else -1
+        return self._run(votes, counts, q, self.weights)
+
+
+#: Voters: the lexicons, density, two for clean, the patterns. Each votes one way or not at all, so there are 2**VOTERS patterns of votes at most.
+VOTERS = 2 * LEXICONS + 3 + len(PATTERNS)
+
+
+def ballot(found: list[int], marks: int, lexicon_of: list[int]) -> int:
+    """The votes of one text as bits. ``lexicon_of`` has each entry's lexicon, words first and then beginnings."""
+    out = 0
+    for i in found:
+        out |= 1 << lexicon_of[i]
+    words = out & ((1 << LEXICONS) - 1)
+    return out | (len(found) >= 3) << 2 * LEXICONS | (not words) << 2 * LEXICONS + 1 | (out == words) << 2 * LEXICONS + 2 | marks << 2 * LEXICONS + 3
+
+
+def lexicons(entries: list[str]) -> list[int]:
+    """Each entry's lexicon: words and beginnings are dealt in turn, the most frequent first."""
+    turn, out = [0, 0], []
+    for w in entries:
+        kind = w.endswith("-")
+        out.append(kind * LEXICONS + turn[kind] % LEXICONS)
+        turn[kind] += 1
     return out
 
 
+def unpack(ballots: np.ndarray) -> np.ndarray:
+    """Votes by ballot and voter: 1 for toxic, -1 of the two voters for clean, 0 for none."""
+    votes = (ballots[:, None] >> np.arange(VOTERS) & 1).astype(np.int8)
+    votes[:, 2 * LEXICONS + 1 : 2 * LEXICONS + 3] *= -1
+    return votes
+
+
 @dataclass
 class Model:
     lexicon: dict[str, int]
@@ -178,47 +204,58 @@ class Model:
 
 def _linear(hits: list[list[int]], q: np.ndarray, width: int, rounds: int = 200, decay: float = 1e-4) -> tuple[np.ndarray, float, float]:
     """Logistic regression on soft labels: entry weights, weight of the number of entries, bias (Adam, full batches)."""
-    x = np.zeros((len(hits), width + 2), np.float32)
-    for i, found in enumerate(hits):
-        x[i, found], x[i, width], x[i, width + 1] = 1, np.log1p(len(found)), 1
-    w, m, v = (np.zeros(width + 2, np.float32) for _ in range(3))
+    n = len(hits)
+    row = np.repeat(np.arange(n), [len(f) for f in hits])
+    col = np.array([i for f in hits for i in f], np.int64)
+    dense = np.log1p(np.array([len(f) for f in hits], float))
+    w, m, v = (np.zeros(width + 2) for _ in range(3))
     for t in range(1, rounds + 1):
-        g = x.T @ (1 / (1 + np.exp(-(x @ w))) - q.astype(np.float32)) / len(hits) + decay * w
+        logit = np.bincount(row, w[col], n) + dense * w[width] + w[width + 1]
+        r = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - q) / n
+        g = np.concatenate((np.bincount(col, r[row], width), [r @ dense, r.sum()])) + decay * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-    return w[:width].astype(np.float64), float(w[width]), float(w[width + 1])
+    return w[:width], float(w[width]), float(w[width + 1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS, unlabelled: int = UNLABELLED, entries: int = ENTRIES) -> Model:
-    """A model from bounded samples outside fold 0.
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS) -> Model:
+    """A model of documents outside fold 0.
 
-    Labels choose the voters' lexicons only (at most ``per_class`` rows of each label) and give the rate of label 1.
-    What the classifier learns are the label model's posteriors on those rows and on ``unlabelled`` others.
-    Without labelled rows there are no voters and every score is the prior's (one tenth).
+    Labels choose the lexicons only (from at most ``per_class`` rows of each label) and give the rate of label 1. The
+    label model sees the votes of all documents outside fold 0, as counts of their patterns. The classifier learns its
+    posteriors on the bounded labelled sample. Without labelled rows there are no lexicons and every score is the
+    prior's (one tenth).
     """
     ids = materialize(labelled_ids(labels, label_col, per_class), "toxicity-ids")
     n = {y: c for y, c in ids.groupBy("label").count().collect()}
-    lexicon: list[str] = []
+    entries: list[str] = []
     if n.get(1):
         single = distinct_ids(texts_of(docs, ids.where("label = 1"), id_col=id_col, text_col=text_col))
         if single:
             base = ids.where("label = 0").unionByName(docs.sparkSession.createDataFrame([(i, 1) for i in sorted(set(single))], "id long, label int"))
-            lexicon = mine(texts_of(docs, base, id_col=id_col, text_col=text_col), {0: n.get(0, 0), 1: len(set(single))}, entries=entries)
-    index = {w: i for i, w in enumerate(lexicon)}
+            entries = mine(texts_of(docs, base, id_col=id_col, text_col=text_col), {0: n.get(0, 0), 1: len(set(single))})
+    prior = rate(labels, label_col) or 0.1
+    if not entries:
+        return Model({}, np.empty(0), 0.0, float(np.log(prior / (1 - prior))))
+    index, lexicon_of = {w: i for i, w in enumerate(entries)}, lexicons(entries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_lookup(t.as_py(), index) for t in b.column(1)], pa.list_(pa.int32()))], names=["id", "hits"])
-
-    prior = rate(labels, label_col) or 0.1
-    if not lexicon:
-        return Model({}, np.empty(0), 0.0, float(np.log(prior / (1 - prior))))
-    others = docs.select(F.col(id_col).cast("long").alias("id")).where((fold("id") != 0) & F.col("id").isNotNull()).orderBy(F.xxhash64("id", F.lit(1)), "id").limit(unlabelled)
-    chosen = ids.select("id").unionByName(others).distinct()
-    rows = sorted(texts_of(docs, chosen, id_col=id_col, text_col=text_col).select("id", "text").mapInArrow(run, "id long, hits array<int>").collect(), key=lambda r: (r["id"], r["hits"]))
-    hits = [list(r["hits"]) for r in rows]
-    posterior = LabelModel(prior).fit(vote(hits, lexicon))
-    return Model(index, *_linear(hits, posterior, len(lexicon)))
+            found = [_lookup(t.as_py(), index) for t in b.column(1)]
+            votes = [ballot(f, patterns(t.as_py()), lexicon_of) for f, t in zip(found, b.column(1), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32())), pa.array(votes, pa.int32())], names=["id", "hits", "votes"])
+
+    schema = "id long, hits array<int>, votes int"
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    counted = source.where((fold("id") != 0) & F.col("id").isNotNull()).mapInArrow(run, schema).groupBy("votes").count().collect()
+    ballots, counts = np.array([r["votes"] for r in counted], np.int64), np.array([r["count"] for r in counted], float)
+    order = np.argsort(ballots)
+    ballots, counts = ballots[order], counts[order]
+    lexical = unpack(ballots)[:, : 2 * LEXICONS + 3]
+    posterior = LabelModel(prior).fit(unpack(ballots), counts, np.where(lexical.sum(axis=1) > 0, 0.9, 0.05))
+    told = dict(zip(ballots.tolist(), posterior.tolist(), strict=True))
+    rows = sorted(texts_of(docs, ids.select("id"), id_col=id_col, text_col=text_col).select("id", "text").mapInArrow(run, schema).collect(), key=lambda r: (r["id"], r["hits"]))
+    return Model(index, *_linear([list(r["hits"]) for r in rows], np.array([told[r["votes"]] for r in rows]), len(entries)))
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", output: str = "toxicity") -> DataFrame:

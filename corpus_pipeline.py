@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import containment, nearcopies, packing, quality, secrets
-from quire.llm.common import materialize, table
+from quire.llm.common import fresh, materialize, table
 
 #: A document scored below this by the quality classifier goes.
 KEEP_FROM = 0.3
@@ -18,15 +18,23 @@ KEEP_FROM = 0.3
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects. The model comes from the stage's own documents and the labels."""
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, output="_quality").where(F.col("_quality") >= KEEP_FROM).select(*docs.columns)
+    model, name = quality.fit(docs, table(spark, sf_dir, "labels")), fresh(docs, "quality")
+    return quality.score(docs, model, output=name).where(F.col(name) >= KEEP_FROM).select(*docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that with the smallest id, of each group of near copies (Jaccard similarity of 5-word shingles of 0.8 or more). Documents without an id are kept; of rows that repeat an id one is."""
-    found = nearcopies.near_components(docs)
-    keep = materialize(found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct(), "pipeline-keep")
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """Keep one document of each group of near copies: that with the smallest id (null ids last), of equal ids that with the least text hash.
+
+    Groups are joined by SimHash multi-index hashing over 5-word shingles, verified by a Jaccard similarity of 0.8 or
+    more, and completed by MinHash bands. Rows that repeat an id with another text are documents of their own.
+    """
+    first = nearcopies.near_components(docs).where("first").groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(F.count("*").alias("_rows"))
+    first, whole = materialize(first, "pipeline-keep"), F.struct(*[F.col(c) for c in docs.columns])
+    on = lambda k: F.col("doc_id").cast("long").eqNullSafe(k["_id"]) & (F.xxhash64(F.col("text").cast("string")) == k["_key"])
+    once, often = first.where("_rows = 1"), first.where("_rows > 1")
+    # Of repeats of one row, which may differ in other columns, the least as JSON stays.
+    repeats = docs.join(often, on(often), "left_semi").groupBy("doc_id", F.xxhash64(F.col("text").cast("string"))).agg(F.min_by(whole, F.to_json(whole)).alias("_row"))
+    return docs.join(once, on(once), "left_semi").unionByName(repeats.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm import simhash
 from quire.llm.common import materialize
 from quire.llm.components import components
 from quire.llm.containment import Powers, mix, shingle_hashes
@@ -16,9 +18,9 @@ from quire.llm.containment import Powers, mix, shingle_hashes
 SHINGLE, THRESHOLD = 5, 0.8
 #: Two texts of similarity s share no band with a chance of (1 - s**ROWS) ** BANDS: 8e-6 at 0.8, 2e-9 at 0.85.
 ROWS, BANDS = 8, 64
-#: One bit of each MinHash; two texts of similarity s differ in (1 - s) / 2 of them. Candidates that differ in more
-#: bits than DEVIATIONS standard deviations above that of the threshold allow are not compared further.
-BITS, DEVIATIONS = ROWS * BANDS, 5
+#: PLANES bits of each MinHash; two texts of similarity s disagree in (1 - s) (1 - 2**-PLANES) of the MinHashes. Candidates
+#: that disagree in more than DEVIATIONS standard deviations above what the threshold allows are not compared further.
+HASHES, PLANES, DEVIATIONS = ROWS * BANDS, 4, 5
 #: Mixed buckets of more texts than this are first compared with one text each, at most PIVOTS times; what is still mixed is compared in full.
 CROWDED, PIVOTS = 64, 3
 
@@ -32,34 +34,37 @@ def _set(text: str | None, powers: Powers, words: int) -> np.ndarray:
 
 
 def _bands(h: np.ndarray, multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A text's band keys, and one bit of each of its MinHashes."""
+    """A text's band keys, and some bits of each of its MinHashes, plane by plane."""
     if not len(h):
-        return np.empty(0, np.int64), np.zeros(BITS // 64, np.int64)
+        return np.empty(0, np.int64), np.zeros(PLANES * HASHES // 64, np.int64)
     least = np.full(len(multipliers), ~_U(0))
     for at in range(0, len(h), _BLOCK):
         least = np.minimum(least, (multipliers[:, None] * h[None, at : at + _BLOCK]).min(axis=1))
     out = np.arange(1, BANDS + 1, dtype=_U)
     for column in least.reshape(BANDS, ROWS).T:
         out = mix(out * _U(0x9E3779B97F4A7C15) + column)
-    return out.view(np.int64), np.packbits((mix(least) & _U(1)).astype(bool)).view(np.int64)
+    planes = (mix(least)[None, :] >> np.arange(PLANES, dtype=_U)[:, None]) & _U(1)
+    return out.view(np.int64), np.packbits(planes.astype(bool).ravel()).view(np.int64)
 
 
 def _marks(source: DataFrame, words: int) -> DataFrame:
-    """(id, node, n, bits, bands) per row; node stands for the text, 0 for all texts without words."""
+    """(id, key, node, n, fp, bits, bands) per row; key is the text's hash and node its node, 0 for all texts without words; fp is its SimHash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, multipliers = Powers(), np.random.default_rng(2014).integers(1 << 62, 1 << 63, ROWS * BANDS, dtype=np.uint64) | _U(1)
         for b in filter(len, batches):
-            sets = [_set(t.as_py(), powers, words) for t in b.column(2)]
+            texts = b.column(2).to_numpy(zero_copy_only=False).tolist()
+            sets = [_set(t, powers, words) for t in texts]
+            marks = np.fromiter((simhash.fingerprint(t, words) for t in texts), np.uint64, b.num_rows).view(np.int64)
             nodes = [v if len(s) else 0 for v, s in zip(b.column(1).to_pylist(), sets, strict=True)]
             bands, bits = (pa.array(x, pa.list_(pa.int64())) for x in zip(*(_bands(s, multipliers) for s in sets), strict=True))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int32()), bits, bands], names=["id", "node", "n", "bits", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int32()), pa.array(marks), bits, bands], names=["id", "key", "node", "n", "fp", "bits", "bands"])
 
-    return source.mapInArrow(run, "id long, node long, n int, bits array<long>, bands array<long>")
+    return source.mapInArrow(run, "id long, key long, node long, n int, fp long, bits array<long>, bands array<long>")
 
 
 def _sets(source: DataFrame, needed: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the needed nodes. Copies collapse before the shuffle."""
+    """(node, shingles) of the needed nodes. Only their texts are shuffled, and copies collapse before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -67,8 +72,8 @@ def _sets(source: DataFrame, needed: DataFrame, words: int) -> DataFrame:
             sets = [_set(t.as_py(), powers, words).view(np.int64) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    texts = source.groupBy("node").agg(F.first("text").alias("text"))
-    return texts.join(needed, "node", "left_semi").mapInArrow(run, "node long, shingles array<long>")
+    texts = source.join(needed, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    return texts.mapInArrow(run, "node long, shingles array<long>")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -78,69 +83,99 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(both / (F.size("sa") + F.size("sb") - both) >= threshold).select("a", "b")
 
 
-def links(source: DataFrame, entries: DataFrame, *, words: int, threshold: float, crowded: int, pivots: int) -> DataFrame | None:
-    """Links (a, b) that connect exactly the texts that chains of similar candidates connect; None where no bucket is shared.
+def _hashed(nodes: DataFrame) -> DataFrame:
+    """Candidates (a, b) of operator 6: texts of one SimHash fingerprint, and of fingerprints that its multi-index hashing links."""
+    first = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    same = nodes.join(first, "fp").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    near = simhash.links(first.select("fp")).select(F.col("a").alias("fa"), F.col("b").alias("fb"))
+    name = lambda fp, c: first.select(F.col("fp").alias(fp), F.col("first").alias(c))
+    linked = near.join(name("fa", "a"), "fa").join(name("fb", "b"), "fb").select("a", "b")
+    return same.unionByName(linked).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    ``entries`` has (key, node, n, bits). Pairs inside one class of linked texts are not enumerated: while mixed buckets
-    are crowded, each is compared with one text only (that with most company over all buckets, which then leaves it), and classes are formed anew.
-    Then pairs whose bits are as near as the threshold's are compared, and last all others between different classes.
+
+def links(source: DataFrame, nodes: DataFrame, *, words: int, threshold: float, crowded: int, pivots: int) -> DataFrame | None:
+    """Links (a, b) that connect exactly the texts that chains of similar candidates connect; None where there is no candidate.
+
+    ``nodes`` has (node, n, fp, bits, bands). SimHash links come first, since they bring most light copies together.
+    Then texts that share a band are candidates. Pairs inside one class of linked texts are not enumerated: while mixed
+    buckets are crowded, each is compared with one text only (that with most company over all buckets, which then
+    leaves it), and classes are formed anew. Then pairs whose bits are as near as the threshold's are compared, and
+    last all others between different classes. A pair meets in the first band that it shares and in no other.
     """
+    entries = nodes.select("node", F.explode("bands").alias("key"))
     shared = materialize(entries.join(entries.groupBy("key").count().where("count > 1"), "key", "left_semi"), "near-shared")
-    if shared.isEmpty():
+    seeds = materialize(_hashed(nodes), "near-seeds")
+    if shared.isEmpty() and seeds.isEmpty():
         return None
-    sets = materialize(_sets(source, shared.select("node").distinct(), words), "near-sets")
+    needed = materialize(shared.select("node").unionByName(seeds.select(F.col("a").alias("node"))).unionByName(seeds.select(F.col("b").alias("node"))).distinct(), "near-needed")
+    sets = materialize(_sets(source, needed, words), "near-sets")
+    known = materialize(nodes.join(needed, "node", "left_semi").select("node", "n", "bits", F.transform("bands", _digest).alias("digests")), "near-known")
+    longs = HASHES // 64
+    planes = lambda i, n: reduce(lambda x, y: x.bitwiseOR(y), [F.col("bits")[k * longs + i].bitwiseXOR(F.col("bits2")[k * longs + i]) for k in range(n)])
+    differ = sum(F.bit_count(planes(i, PLANES)) for i in range(longs))
+    p = (1 - threshold) * (1 - 2.0**-PLANES)
+    above = lambda x: HASHES * x + DEVIATIONS * (HASHES * x * (1 - x)) ** 0.5
+    near, far = HASHES * p, above(p)
+    # The first plane alone, held to its own bound, spares most pairs the others.
+    rough = sum(F.bit_count(planes(i, 1)) for i in range(longs)) <= above((1 - threshold) / 2)
+    fits = (F.least("n", "n2") >= F.lit(threshold) * F.greatest("n", "n2") - 1e-6) & rough
+    sides = known.select(F.col("node").alias("a"), "n", "bits"), known.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("bits").alias("bits2"))
+    found = materialize(_similar(seeds, sets, threshold), "near-first")
     weights = shared.join(shared.groupBy("key").agg(F.count("*").alias("members")), "key").groupBy("node").agg(F.sum("members").alias("w"))
-    left, found = materialize(shared.join(weights, "node").select("key", "node", "n", "bits", "w", F.col("node").alias("cls")), "near-left"), None
-    differ = sum(F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits2")[i])) for i in range(BITS // 64))
-    p = (1 - threshold) / 2
-    fits = (F.least("n", "n2") >= F.lit(threshold) * F.greatest("n", "n2") - 1e-6)
-    near, far = BITS * p, BITS * p + DEVIATIONS * (BITS * p * (1 - p)) ** 0.5
-    for turn in range(pivots + 1):
-        sizes = left.groupBy("key").agg(F.count("*").alias("members"), F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.max(F.struct("w", "node", "n", "bits", "cls")).alias("p")).where("lo < hi")
-        sizes = materialize(sizes.select("key", "members", F.col("p.node").alias("node2"), F.col("p.n").alias("n2"), F.col("p.bits").alias("bits2"), F.col("p.cls").alias("cls2")), "near-mixed")
-        big = sizes.where(F.col("members") > crowded)
-        if turn == pivots or big.isEmpty():
+    left = materialize(_classed(shared.join(weights, "node"), found), "near-left")
+    for _ in range(pivots):
+        mixed = left.groupBy("key").agg(F.count("*").alias("members"), F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.max(F.struct("w", "node", "cls")).alias("p")).where("lo < hi")
+        mixed = materialize(mixed.select("key", "members", F.col("p.node").alias("node2"), F.col("p.cls").alias("cls2")), "near-mixed")
+        big = mixed.where(F.col("members") > crowded)
+        if big.isEmpty():
             break
-        met = left.join(big, "key").where("node <> node2")
-        pairs = met.where("cls <> cls2").where(fits & (differ <= far)).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+        pairs = left.join(big, "key").where("node <> node2 and cls <> cls2").select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+        pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(fits & (differ <= far)).select("a", "b")
         more = materialize(_similar(pairs, sets, threshold), "near-pivots")
-        found = more if found is None else found.unionByName(more)
-        rest = left.join(sizes.select("key", "node2", "members"), "key").where((F.col("node") != F.col("node2")) | (F.col("members") <= crowded))
-        left = materialize(_classed(rest.select("key", "node", "n", "bits", "w"), found), "near-left")
-    for bits in (near, far):
-        mixed = left.join(left.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi"), "key", "left_semi")
-        other = mixed.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("bits").alias("bits2"), F.col("cls").alias("cls2"))
-        pairs = mixed.join(other, "key").where("node < node2 and cls <> cls2").where(fits & (differ <= bits)).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
-        more = materialize(_similar(pairs, sets, threshold), "near-links")
-        found = more if found is None else found.unionByName(more)
-        if bits == near:
-            left = materialize(_classed(left, found), "near-left")
+        found = found.unionByName(more)
+        rest = left.join(mixed.select("key", "node2", "members"), "key").where((F.col("node") != F.col("node2")) | (F.col("members") <= crowded)).select("key", "node", "w", "cls")
+        left = materialize(rest if more.isEmpty() else _classed(rest, found), "near-left")
+    earlier = lambda i: (i < F.lit(BANDS)) & F.exists(F.zip_with(F.slice("digests", 1, i), F.slice("digests2", 1, i), lambda x, y: x == y), lambda x: x)
+    for least, most in ((-1, near), (near, far)):
+        mixed = left.join(left.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi"), "key", "left_semi").join(known, "node")
+        mixed = mixed.select("key", "node", "cls", "n", "bits", "digests", (F.array_position("digests", _digest(F.col("key"))) - 1).cast("int").alias("band"))
+        other = mixed.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "cls", "n", "bits", "digests")])
+        pairs = mixed.join(other, "key").where("node < node2 and cls <> cls2").where(fits & ((differ <= most) if least < 0 else (differ <= most) & (differ > least)) & ~earlier(F.col("band"))).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+        found = found.unionByName(materialize(_similar(pairs, sets, threshold), "near-links"))
+        left = materialize(_classed(left, found), "near-left") if most == near else left
     return found
 
 
+def _digest(key: Column) -> Column:
+    """31 bits of a band key."""
+    return F.shiftright(key, 33).cast("int")
+
+
 def _classed(left: DataFrame, found: DataFrame) -> DataFrame:
     """``left`` with the classes that the links found so far make."""
     roots = materialize(components(found, "near-classes"), "near-class")
-    return left.drop("cls").join(roots, "node", "left").select("key", "node", "n", "bits", "w", F.coalesce("root", "node").alias("cls"))
+    return left.select("key", "node", "w").join(roots, "node", "left").select("key", "node", "w", F.coalesce("root", "node").alias("cls"))
 
 
 def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE, threshold: float = THRESHOLD, crowded: int = CROWDED, pivots: int = PIVOTS) -> DataFrame:
-    """(id, component_id): one row per row of ``docs``; component_id is the smallest id that chains of similar texts reach.
+    """(id, key, component_id, first): one row per row of ``docs``; component_id is the smallest id that chains of similar texts reach.
 
+    ``key`` is the text's xxhash64, and ``first`` is true where (id, key) is the least of its component, null ids last:
+    so each component has one such pair, held by one row or by repeats of one row.
     Words are separated by white space, case plays no part. Null texts and texts without words are copies of one
     another. A null id stays null and never names a component unless all ids of its component are null. Repeated
     rows each get a row. An empty table gives no rows.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).select("id", F.xxhash64("text").alias("node"), "text")
     marks = materialize(_marks(source, words), "near-marks")
-    entries = marks.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("bands").alias("bands")).select(F.explode("bands").alias("key"), "node", "n", "bits")
-    made = links(source.select("node", "text"), entries, words=words, threshold=threshold, crowded=crowded, pivots=pivots)
-    nodes = marks.groupBy("node").agg(F.min("id").alias("least"))
+    own = F.struct(F.col("id").isNull().alias("absent"), F.coalesce("id", F.lit(0)).alias("id"), F.col("key").alias("key"))
+    nodes = materialize(marks.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("bands").alias("bands"), F.min(own).alias("least")), "near-nodes")
+    made = links(source.select("node", "text"), nodes.where("n > 0"), words=words, threshold=threshold, crowded=crowded, pivots=pivots)
     if made is None:
-        linked = nodes.withColumn("root", F.col("node"))
+        linked = nodes.select("node", "least", F.col("node").alias("root"))
     else:
         roots = materialize(components(made, "near-components"), "near-roots")
         linked = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     linked = materialize(linked, "near-linked")
-    labels = materialize(linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id"), "near-labels")
-    return marks.select("id", "node").join(labels, "node").select("id", "component_id")
+    labels = materialize(linked.join(linked.groupBy("root").agg(F.min("least").alias("lead")), "root").select("node", "lead"), "near-labels")
+    return marks.select("id", "key", "node").join(labels, "node").select("id", "key", F.when(~F.col("lead.absent"), F.col("lead.id")).alias("component_id"), (own == F.col("lead")).alias("first"))

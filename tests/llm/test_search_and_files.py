@@ -1,10 +1,17 @@
 import gzip
+import hashlib
+import math
+import random
+import re
+import time
+from itertools import combinations
 
 import duckdb
+import numpy as np
 import pytest
 
 from quire.llm import containment, queries, secrets, topk, urls, warc
-from quire.llm.common import scratch
+from quire.llm.common import crc_fold, scratch
 
 
 def rows_of(df):
@@ -26,7 +33,7 @@ def test_sql_gives_the_same_rows(spark, small, name):
 def test_topk_ties_and_unusable_vectors(spark):
     rows = [(0, [1.0, 1.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1.0]), (None, [9.0, 9.0]), (1, [1.0, 0.0]), (50, [0.5, -0.5])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = rows_of(topk.top_k(df, k=3, block=2))
+    got = rows_of(topk.top_k(df, k=3, block=2).drop("depth"))
     assert got == [(0, 1, 1, 65536), (0, 2, 1, 65536), (0, 3, 2, 65536), (50, 1, 1, 32768), (50, 2, 1, 32768), (50, 3, 7, 32768)]
     assert topk.top_k(df.where("false")).count() == 0
     assert topk.top_k(df.where("vec_id = 0")).count() == 0
@@ -34,7 +41,7 @@ def test_topk_ties_and_unusable_vectors(spark):
 
 def test_topk_by_blocks(spark, small):
     df = spark.read.parquet(f"{small}/embeddings.parquet")
-    assert rows_of(topk.top_k(df, queries=3, block=60)) == rows_of(topk.top_k(df))
+    assert rows_of(topk.top_k(df, queries=3, block=60).drop("depth")) == rows_of(topk.top_k(df).drop("depth"))
 
 
 def test_base_secrets():
@@ -124,3 +131,117 @@ def test_mined_rules(spark):
     got = {r["id"]: r["verdict"] for r in urls.judge(df, mined).collect()}
     assert got[1] == "block" and got[2] == "allow" and got[None] == "allow" and len(got) == 401
     assert urls.mine(df.where("false"), spark.createDataFrame(labels, "doc_id long, quality int")) == []
+
+
+def test_long_urls_are_mined_in_seconds(spark):
+    path = lambda i, n: "/".join(f"s{chr(97 + j % 26)}{j // 26}" for j in range(n) if (i + j) % 7)
+    rows = [(i, f"http://spam.example.com/{path(0, 60)}") for i in range(300)] + [(300 + i, f"http://spam.example.com/{path(i, 40)}?q{i}=1") for i in range(100)] + [(1000 + i, f"http://ok.example.com/{path(i, 40)}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in rows], "doc_id long, quality int")
+    began = time.time()
+    assert frozenset({"host:spam"}) in urls.mine(df, labels) and time.time() - began < 120
+
+
+def test_mined_sets_are_those_of_brute_force(spark):
+    rnd = random.Random(4)
+    pages = [(i, f"http://{rnd.choice('abc')}.{rnd.choice('de')}.com/{rnd.choice('fgh')}/{rnd.choice('ij')}") for i in range(600)]
+    bad = {i: int(not ("//a.d." in u or ("/f/i" in u and "//b." in u) or rnd.random() < 0.02)) for i, u in pages}
+    got = urls.mine(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(list(bad.items()), "doc_id long, quality int"))
+    used = [(frozenset(urls.tokens(u)), bad[i]) for i, u in pages if crc_fold(i) != 0]
+    base = sum(y == 0 for _, y in used) / len(used)
+    items = sorted(set().union(*(t for t, _ in used)))
+    sure = []
+    for size in (1, 2, 3):
+        for c in map(frozenset, combinations(items, size)):
+            ys = [y for t, y in used if c <= t]
+            if ys.count(0) >= 5 and ys.count(0) >= max(0.7, min(1, 2 * base)) * len(ys) and not any(k <= c for k in sure):
+                sure.append(c)
+    spots = lambda c: frozenset(i for i, (t, _) in enumerate(used) if c <= t)
+    assert sure and {spots(c) for c in got} == {spots(c) for c in sure}
+
+
+def test_weak_labels_decide_unlisted_pages(spark, odd):
+    pages = [(i, f"http://{'big-casino' if i % 3 == 0 else 'news'}.example.edu/en/{i}") for i in range(90)] + [(100, None), (101, "http://big-casino.org/fr/x"), (101, "http://big-casino.org/fr/x"), (102, "http://x.edu/" + "a/" * 50_000), (103, "")]
+    df = spark.createDataFrame([(*p, "y") for p in pages], "page_id long, url string, rule string")
+    mined = urls.mine(df)
+    assert mined == [frozenset({"host:big-casino"})]
+    got = [(r["id"], r["rule"], r["verdict"]) for r in urls.judge(df, mined).collect()]
+    assert len(got) == len(pages) and (0, None, "block") in got and (1, None, "allow") in got and got.count((101, "org/fr/", "allow")) == 2
+    assert urls.mine(df.where("false")) == [] and urls.judge(df.where("false"), mined).count() == 0
+
+
+def test_url_query_against_plain_rules(spark, small):
+    """Host, path and rule by plain string cuts; the verdict by the rule or the seeds."""
+    def plain(url):
+        rest = (url or "").split("://", 1)
+        if len(rest) < 2:
+            return "", "", None
+        stop = min([i for i in map(rest[1].find, "/?#") if i >= 0], default=len(rest[1]))
+        host, path = rest[1][:stop], rest[1][stop:].split("?")[0].split("#")[0]
+        host = "".join(c.lower() if c.isascii() else c for c in host)
+        fits = [(h + p) for _, h, p in urls.LISTED if ("." + host).endswith("." + h) and path.startswith(p)]
+        return host, path, max(fits, key=len, default=None)
+
+    says = {h + p: v for v, h, p in urls.LISTED}
+    texts = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
+    rows = urls.query(spark, small).collect()
+    assert sorted(r["page_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        assert (r["host"], r["path"], r["rule"]) == plain(texts[r["page_id"]])
+        assert r["rule"] is None or r["verdict"] == says[r["rule"]]
+
+
+def test_topk_stops_early_on_skewed_lists(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in (rng.pareto(1.0, 6) * 3).round(3)]) for i in range(3000)]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, score int, rank string").coalesce(1)
+    got = topk.top_k(df, every=500).collect()
+    assert max(r["depth"] for r in got) < 0.2
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    for q in (0, 500):
+        want = sorted((-sum(a * b for a, b in zip(ints[q], ints[i], strict=True)), i) for i in ints if i != q)[:5]
+        assert [(-r["score"], r["vec_id"]) for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == want
+
+
+def test_topk_keeps_large_integers_exact(spark):
+    big = 1.0e7
+    rows = [(0, [big, 1.0]), (1, [big, 1.0]), (2, [big, 1.0 + 1 / 256]), (3, [big, 0.0])]
+    got = rows_of(topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=3).select("query_id", "rank", "vec_id", "score"))
+    large = int(256 * big) ** 2
+    assert large > 2**53 and got == [(0, 1, 2, large + 256 * 257), (0, 2, 1, large + 256 * 256), (0, 3, 3, large)]
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_spans_of_many_values_in_one_text():
+    rnd = random.Random(2)
+    values = ["".join(rnd.choices("abcdefghijkXYZ0123456789", k=24)) + "Aa1z" for _ in range(20_000)]
+    began = time.time()
+    text = " ".join(values)
+    got = secrets.candidate_spans(text, secrets.base_spans(text))
+    assert time.time() - began < 20 and len(got) > 19_000
+    some = text[:2000]
+    base = secrets.base_spans(some)
+    slow = []
+    for span in sorted(got, key=lambda s: s[1]):
+        if span[2] <= 2000 and not any(s < span[2] and span[1] < e for _, s, e, _ in base):
+            slow.append(span)
+    assert [s for s in got if s[2] <= 2000] == slow
+
+
+def test_scan_query_against_plain_matching(spark, small):
+    """Counts and the digest by matching the patterns as the contract writes them."""
+    patterns = (("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 8), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 16), ("hex", re.compile("[0-9a-f]+"), 0, 32))
+    rows = {r["doc_id"]: r for r in secrets.query(spark, small).collect()}
+    for d in spark.read.parquet(f"{small}/documents.parquet").collect():
+        spans = [(m.start(), i, m.end(), kind) for i, (kind, p, g, least) in enumerate(patterns) for m in p.finditer(d["text"] or "") if len(m[g]) >= least]
+        joined = ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(spans))
+        r = rows[d["doc_id"]]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[1] == i for s in spans) for i in range(3)]
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest() and set(joined.split(",")) - {""} <= set(r["spans"].split(","))
+
+
+def test_redaction_keeps_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "token=abcdefgh1 x", "o", 5, "k", 7.0), (1, "other", "o", 6, "l", 8.0), (None, None, None, 1, None, None)], "doc_id long, text string, source string, secret_id int, secret_key string, _id double")
+    clean = secrets.redact(df)
+    assert clean.columns == df.columns and sorted((r["secret_id"], r["text"]) for r in clean.collect()) == [(1, None), (5, "[SECRET] x"), (6, "other")]

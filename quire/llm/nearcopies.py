@@ -139,7 +139,7 @@ def links(source: DataFrame, nodes: DataFrame, *, words: int, threshold: float,
     for least, most in ((-1, near), (near, far)):
         mixed = left.join(left.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi"), "key", "left_semi").join(known, "node")
         mixed = mixed.select("key", "node", "cls", "n", "bits", "digests", (F.array_position("digests", _digest(F.col("key"))) - 1).cast("int").alias("band"))
-        other = mixed.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "cls", "n", "bits", "digests")])
+        other = mixed.select("key", *[F.col(c).alias(f"{c}2") for c in mixed.columns if c != "key"])
         pairs = mixed.join(other, "key").where("node < node2 and cls <> cls2").where(fits & ((differ <= most) if least < 0 else (differ <= most) & (differ > least)) & ~earlier(F.col("band"))).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
         found = found.unionByName(materialize(_similar(pairs, sets, threshold), "near-links"))
         left = materialize(_classed(left, found), "near-left") if most == near else left

@@ -8,6 +8,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -113,17 +114,23 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([s.tolist() for s in sparse], pa.list_(pa.int32())), pa.array([r[s].tolist() for r, s in zip(rows, sparse, strict=True)], pa.list_(pa.float32()))], names=["id", "label", "at", "n"])
 
     sample = texts_of(docs, labelled_ids(labels, label_col, per_class), id_col=id_col, text_col=text_col)
-    rows = sorted(sample.mapInArrow(run, "id long, label int, at array<int>, n array<float>").collect(), key=lambda r: (r["id"], r["at"], r["n"]))
+    rows = sample.mapInArrow(run, "id long, label int, at array<int>, n array<float>").toArrow().combine_chunks()
     share = rate(labels, label_col)
-    if not rows:
+    if not len(rows):
         return Model(np.ones(WIDTH, np.float32), np.zeros((WIDTH, 1), np.float32), np.empty((0, 1), np.float32), np.empty(0), 0.5 if share is None else share, neighbours)
-    counts, y = np.zeros((len(rows), WIDTH), np.float32), np.array([r["label"] for r in rows], np.float64)
-    for i, r in enumerate(rows):
-        counts[i, r["at"]] = r["n"]
-    weights = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 0.1).astype(np.float32)
-    model = Model(weights, np.eye(WIDTH, dtype=np.float32), np.empty((0, 1)), y, float(share), neighbours)
-    model.axes = _axes(model.weighted(counts), dimensions)
-    model.vectors = np.ascontiguousarray(model.latent(counts))
+    # Rows come in any order; sums of them are taken in one.
+    rows = rows.take(pa.array(np.lexsort((pc.list_value_length(rows.column("at")).to_numpy(), rows.column("id").to_numpy()))))
+    at, n = rows.column("at").combine_chunks(), rows.column("n").combine_chunks()
+    sizes = pc.list_value_length(at).to_numpy(zero_copy_only=False)
+    counts = np.zeros((len(rows), WIDTH), np.float32)
+    counts[np.repeat(np.arange(len(rows)), sizes), at.flatten().to_numpy()] = n.flatten().to_numpy()
+    y = rows.column("label").to_numpy().astype(np.float64)
+    weights = (np.log((1 + len(y)) / (1 + np.count_nonzero(counts, axis=0))) + 0.1).astype(np.float32)
+    model = Model(weights, np.empty((0, 0), np.float32), np.empty((0, 1)), y, float(share), neighbours)
+    for i in range(0, len(y), _ROWS):
+        counts[i : i + _ROWS] = model.weighted(counts[i : i + _ROWS])
+    model.axes = _axes(counts, dimensions)
+    model.vectors = np.ascontiguousarray(_unit(counts @ model.axes))
     return model
 
 

@@ -29,12 +29,16 @@ def next_peer(df: DataFrame, by: list[str], order: str, near: str, tolerance: fl
 
 
 def column_support(df: DataFrame, by: list[str], order: str, label: str, position: str, tolerance: float) -> DataFrame:
-    """For each row, the distinct labels in its group within the tolerance of its position; (by, order, support)."""
+    """For each row, the distinct labels in its group within the tolerance of its position; (by, order, support).
+
+    Positions go to buckets as wide as the tolerance. All of a row's own bucket is near; of a neighbouring bucket a
+    label is near if its nearest position is. So rows meet labels with their extremes, never other rows.
+    """
     rows = df.select(*by, order, label, position).withColumn("_b", F.floor(F.col(position) / tolerance))
-    probe = rows.withColumn("_b", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
-    others = rows.select(*by, "_b", F.col(label).alias("_l"), F.col(position).alias("_p"))
-    met = probe.join(others, [*by, "_b"]).where(F.abs(F.col("_p") - F.col(position)) <= tolerance)
-    return met.groupBy(*by, order).agg(F.countDistinct("_l").alias("support"))
+    labels = rows.groupBy(*by, F.col("_b").alias("_lb"), F.col(label).alias("_l")).agg(F.min(position).alias("_lo"), F.max(position).alias("_hi"))
+    labels = labels.withColumn("_b", F.explode(F.array(F.col("_lb") - 1, F.col("_lb"), F.col("_lb") + 1)))
+    near = F.when(F.col("_lb") == F.col("_b"), True).when(F.col("_lb") > F.col("_b"), F.col("_lo") - F.col(position) <= tolerance).otherwise(F.col(position) - F.col("_hi") <= tolerance)
+    return rows.join(labels, [*by, "_b"]).where(near).groupBy(*by, order).agg(F.countDistinct("_l").alias("support"))
 
 
 def best_supported(support: DataFrame, by: list[str], order: str) -> DataFrame:
@@ -50,10 +54,3 @@ def missing_parents(df: DataFrame, by: list[str], order: str, number: str) -> Da
     lost = deep.withColumn("_parent", parent).join(first, [*by, "_parent"], "left").where(F.col("_first").isNull() | (F.col("_first") >= F.col(order)))
     root = df.groupBy(*by, F.col(number)[0].alias("_root")).agg(F.min(order).alias("_seen"))
     return lost.withColumn("_root", F.col(number)[0]).join(root, [*by, "_root"], "left").select(*by, order, F.col("_parent").alias("parent"), (F.col("_seen") < F.col(order)).alias("has_relative"))
-
-
-def first_later(df: DataFrame, by: list[str], order: str, fits: Column, later: list[str]) -> DataFrame:
-    """For each row, the smallest later order value whose row (columns as next_*) fits; within groups."""
-    others = df.select(*by, F.col(order).alias(f"next_{order}"), *[F.col(c).alias(f"next_{c}") for c in later])
-    met = df.join(others, by).where((F.col(f"next_{order}") > F.col(order)) & fits)
-    return df.join(met.groupBy(*by, order).agg(F.min(f"next_{order}").alias("end")), [*by, order], "left")

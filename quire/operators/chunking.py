@@ -53,18 +53,26 @@ def pack_parts(parts: list[str], limit: int = MAX_CHARS) -> list[str]:
     return out
 
 
-def chunk_numbers(sizes: Column, limit: int = MAX_CHARS) -> Column:
-    """Greedy packing of ordered part sizes as an array of chunk numbers from 1, in one fold."""
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("size"), F.expr("cast(array() as array<int>)").alias("at"))
+def chunk_starts(sizes: Column, limit: int = MAX_CHARS) -> Column:
+    """Greedy packing of ordered part sizes as the positions (from 1) of the parts that start a chunk, in one fold that writes at starts only."""
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("size"), F.expr("cast(array() as array<int>)").alias("at"))
 
     def step(acc: Column, size: Column) -> Column:
-        fits = (acc["n"] > 0) & (acc["size"] + len(JOINT) + size <= limit)
-        n = F.when(fits, acc["n"]).otherwise(acc["n"] + 1)
-        return F.struct(n.alias("n"), F.when(fits, acc["size"] + len(JOINT) + size).otherwise(size).alias("size"), F.concat(acc["at"], F.array(n)).alias("at"))
+        fits = (acc["i"] > 0) & (acc["size"] + len(JOINT) + size <= limit)
+        i = acc["i"] + 1
+        return F.struct(i.alias("i"), F.when(fits, acc["size"] + len(JOINT) + size).otherwise(size).alias("size"), F.when(fits, acc["at"]).otherwise(F.concat(acc["at"], F.array(i))).alias("at"))
 
     return F.aggregate(sizes, start, step, lambda acc: acc["at"])
 
 
+def packed(df: DataFrame, parts_col: str, sizes: Column, limit: int = MAX_CHARS) -> DataFrame:
+    """``df`` with one row per chunk of the ordered parts: chunk_no from 1, and the chunk's parts in place of all."""
+    n = F.size(parts_col)
+    started = df.withColumn("_starts", chunk_starts(sizes, limit)).select("*", F.posexplode("_starts").alias("_j", "_from"))
+    until = F.coalesce(F.get("_starts", F.col("_j") + 1), n + 1)
+    return started.withColumn("chunk_no", F.col("_j") + 1).withColumn(parts_col, F.slice(parts_col, F.col("_from"), until - F.col("_from"))).drop("_starts", "_j", "_from")
+
+
 def split_parts(df: DataFrame, text_col: str, limit: int = MAX_CHARS, output: str = "parts") -> DataFrame:
     """``df`` with an array of the pieces of each text."""
 

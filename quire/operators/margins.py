@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -11,10 +11,29 @@ def repeated_lines(lines: DataFrame, fingerprint: str, page: str, least: int) ->
     return lines.select(fingerprint, page).distinct().groupBy(fingerprint).agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
 
 
+def middle(df: DataFrame, by: list[str], value: str, output: str, bins: int = 1024) -> DataFrame:
+    """Exact median per group (the mean of the middle two), nulls left out.
+
+    Values are counted in bins between the group's extremes; only the bins that hold the middle ranks are sorted, so
+    a group of very many rows meets in no task.
+    """
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v is not null")
+    ends = rows.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_n"))
+    place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1))).otherwise(0)
+    placed = rows.join(ends, by).withColumn("_bin", place)
+    counts = placed.groupBy(*by, "_bin").agg(F.count("*").alias("_c"), F.first("_n").alias("_n"))
+    counts = counts.withColumn("_before", F.sum("_c").over(Window.partitionBy(*by).orderBy("_bin")) - F.col("_c"))
+    first, second = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    held = counts.where((F.col("_before") < second) & (F.col("_before") + F.col("_c") >= first)).select(*by, "_bin", "_before")
+    ranked = placed.join(held, [*by, "_bin"]).withColumn("_rank", F.col("_before") + F.row_number().over(Window.partitionBy(*by, "_bin").orderBy("_v")))
+    return ranked.where(F.col("_rank").between(first, second)).groupBy(*by).agg(F.avg("_v").alias(output))
+
+
 def median_mad(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Exact median and median absolute deviation per group."""
-    middle = df.groupBy(*by).agg(F.median(value).alias("median"))
-    return df.join(middle, by).groupBy(*by).agg(F.first("median").alias("median"), F.median(F.abs(F.col(value) - F.col("median"))).alias("mad"))
+    median = middle(df, by, value, "median")
+    away = df.join(median, by).withColumn("_away", F.abs(F.col(value) - F.col("median")))
+    return median.join(middle(away, by, "_away", "mad"), by)
 
 
 def margin_suggestion(lines: DataFrame, by: list[str], repeated: str, y: str, band: float = 0.2, default: float = 0.03) -> DataFrame:

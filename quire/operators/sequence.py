@@ -39,3 +39,12 @@ def keep_first(df: DataFrame, by: list[Column], order: list[str]) -> DataFrame:
 
 def counter(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+
+
+def chunked_counter(df: DataFrame, by: list[str], chunk: Column, order: list[str], name: str) -> DataFrame:
+    """A counter over few large groups: rows are numbered within chunks, which ``chunk`` orders as ``order`` does, and each chunk starts behind those before it."""
+    rows = df.withColumn("_chunk", chunk)
+    sizes = rows.groupBy(*by, "_chunk").agg(F.count("*").alias("_n"))
+    before = sizes.select(*by, "_chunk", (F.sum("_n").over(Window.partitionBy(*by).orderBy("_chunk")) - F.col("_n")).alias("_before"))
+    numbered = rows.withColumn("_at", F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(*order)))
+    return numbered.join(before, [*by, "_chunk"]).withColumn(name, F.col("_before") + F.col("_at")).drop("_chunk", "_before", "_at")

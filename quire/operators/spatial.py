@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from statistics import median
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -29,11 +29,26 @@ def overlapping(lines: DataFrame, regions: DataFrame, by: list[str], threshold:
     return lines.join(boxes, on, how)
 
 
-def nearest(left: DataFrame, right: DataFrame, by: list[str], key: str, position: str, other: str, other_position: str) -> DataFrame:
-    """For each left row the right row of its group at the least distance, ties to the smaller position and then key."""
-    met = left.join(right, by)
-    distance = F.abs(F.col(other_position) - F.col(position))
-    return met.groupBy(*by, key).agg(F.min_by(F.struct(F.col(other), distance.alias("distance")), F.struct(distance, F.col(other_position), F.col(other))).alias("m")).select(*by, key, f"m.{other}", "m.distance")
+def nearest(left: DataFrame, right: DataFrame, by: list[str], key: str, position: str, other: str, other_position: str, *, width: float) -> DataFrame:
+    """For each left row the right row of its group at the least distance, ties to the smaller position and then key.
+
+    Positions go to buckets of a width. Windows within buckets give the right rows next below and above; where a bucket
+    has none, those of the nearest bucket with any are carried over from a table of buckets. No rows are paired.
+    """
+    bucket = lambda c: F.floor(F.col(c) / width)
+    spot = F.struct(F.col("_p").alias("p"), F.col("_k").alias("k"))
+    points = right.groupBy(*by, F.col(other_position).alias("_p")).agg(F.min(other).alias("_k")).withColumn("_b", bucket("_p"))
+    rows = left.select(*by, key, F.col(position).alias("_p"), bucket(position).alias("_b"))
+    edges = points.groupBy(*by, "_b").agg(F.max(spot).alias("_top"), F.min(spot).alias("_low")).unionByName(rows.select(*by, "_b").distinct(), allowMissingColumns=True).groupBy(*by, "_b").agg(F.first("_top", ignorenulls=True).alias("_top"), F.first("_low", ignorenulls=True).alias("_low"))
+    over = Window.partitionBy(*by).orderBy("_b")
+    edges = edges.select(*by, "_b", F.last("_top", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_under"), F.first("_low", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_over"))
+    both = rows.withColumn("_s", F.lit(None).cast(points.select(spot.alias("s")).schema["s"].dataType)).unionByName(points.select(*by, F.lit(None).cast(rows.schema[key].dataType).alias(key), "_p", "_b", spot.alias("_s")))
+    w = Window.partitionBy(*by, "_b").orderBy("_p")
+    seen = both.withColumn("_below", F.last("_s", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))).withColumn("_above", F.first("_s", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing)))
+    joined = seen.where(F.col("_s").isNull()).join(edges, [*by, "_b"], "left")
+    ends = F.filter(F.array(F.coalesce("_below", "_under"), F.coalesce("_above", "_over")), lambda e: e.isNotNull())
+    best = F.array_min(F.transform(ends, lambda e: F.struct(F.abs(e["p"] - F.col("_p")).alias("distance"), e["p"].alias("p"), e["k"].alias("k"))))
+    return joined.select(*by, key, best.alias("m")).where("m is not null").select(*by, key, F.col("m.k").alias(other), "m.distance")
 
 
 def fold_groups(df: DataFrame, by: list[str], fold: Callable[[list[dict]], list[dict]], schema: StructType) -> DataFrame:

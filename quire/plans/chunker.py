@@ -121,8 +121,7 @@ def chunks(lines: DataFrame, toc: DataFrame, *, max_chars: int = chunking.MAX_CH
     runs = parts.groupBy("doc_id", "run_id", "section").agg(F.array_sort(F.collect_list(F.struct("par_no", "page", "text"))).alias("p"))
     pieces = chunking.split_parts(runs.select("doc_id", "run_id", "section", F.posexplode("p").alias("i", "x")).select("doc_id", "run_id", "section", "i", F.col("x.page").alias("page"), F.col("x.text").alias("text")), "text", max_chars)
     flat = pieces.select("doc_id", "run_id", "section", "i", "page", F.posexplode("parts").alias("j", "part"))
-    packed = flat.groupBy("doc_id", "run_id", "section").agg(F.array_sort(F.collect_list(F.struct("i", "j", "page", "part"))).alias("p")).withColumn("at", chunking.chunk_numbers(F.transform("p", lambda x: F.length(x["part"])), max_chars))
-    each = packed.select("doc_id", "run_id", "section", F.explode(F.arrays_zip("p", "at")).alias("x")).groupBy("doc_id", "run_id", "section", F.col("x.at").alias("at")).agg(F.array_sort(F.collect_list("x.p")).alias("p"))
+    each = chunking.packed(flat.groupBy("doc_id", "run_id", "section").agg(F.array_sort(F.collect_list(F.struct("i", "j", "page", "part"))).alias("p")), "p", F.transform("p", lambda x: F.length(x["part"])), max_chars).withColumnRenamed("chunk_no", "at")
     done = each.select("doc_id", "run_id", "at", F.col("section.number").alias("section_number"), F.col("section.title").alias("section_title"), (F.array_min(F.transform("p", lambda x: x["page"])) + 1).alias("page_start"), (F.array_max(F.transform("p", lambda x: x["page"])) + 1).alias("page_end"), F.array_join(F.transform("p", lambda x: x["part"]), chunking.JOINT).alias("text"))
     counted = sequence.counter(done, ["doc_id", "section_number"], ["run_id", "at"], "n")
     return counted.select(T.chunk_id(F.col("doc_id"), F.col("section_number"), F.lit("TEXT"), F.col("n")).alias("chunk_id"), F.col("doc_id").alias("document"), F.lit("text").alias("content_type"), "section_number", "section_title", "page_start", "page_end", "text")

@@ -47,10 +47,8 @@ def doc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chunk_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy packing alone: a part beyond the limit is a chunk of its own."""
     lines = doc_lines(spark, sf_dir).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("lines"))
-    numbered = lines.withColumn("at", chunking.chunk_numbers(F.transform("lines", lambda x: F.length(x["line"]))))
-    parts = numbered.select("doc_id", F.explode(F.arrays_zip("lines", "at")).alias("x")).select("doc_id", F.col("x.lines.pos").alias("pos"), F.col("x.lines.line").alias("line"), F.col("x.at").alias("chunk_no"))
-    packed = parts.groupBy("doc_id", "chunk_no").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("l"))
-    return packed.select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), T.chunk_id(F.concat(F.lit("DOC"), F.col("doc_id").cast("string")), F.lit(None).cast("string"), F.lit("TEXT"), F.col("chunk_no")).alias("chunk_id"), F.size("l").cast("long").alias("n_parts"), F.array_join(F.transform("l", lambda x: x["line"]), chunking.JOINT).alias("text"))
+    chunks = chunking.packed(lines, "lines", F.transform("lines", lambda x: F.length(x["line"])))
+    return chunks.select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), T.chunk_id(F.concat(F.lit("DOC"), F.col("doc_id").cast("string")), F.lit(None).cast("string"), F.lit("TEXT"), F.col("chunk_no")).alias("chunk_id"), F.size("lines").cast("long").alias("n_parts"), F.array_join(F.transform("lines", lambda x: x["line"]), chunking.JOINT).alias("text"))
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +174,35 @@ l AS (SELECT doc_id, pos, line, regexp_replace(regexp_replace(regexp_replace(low
 rep AS (SELECT fingerprint, count(DISTINCT doc_id) AS pages FROM l GROUP BY fingerprint HAVING count(DISTINCT doc_id) >= {REPEATED})"""
 _TITLES = r"t AS (SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) AS h1 FROM pages)"
 
+def _split(source: str, limit: int = chunking.MAX_CHARS) -> str:
+    """CTEs that end in parts(doc_id, pos, part_no, part): the texts of ``source`` (doc_id, pos, txt), all beyond the limit, cut at sentences, words and lengths.
+
+    Units are sentences, or the words of sentences beyond the limit, of which the first opens a new part (cut).
+    """
+    return rf"""s0 AS (SELECT doc_id, pos, string_split(regexp_replace(txt, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS ss FROM {source}),
+s1 AS (SELECT doc_id, pos, unnest(range(len(ss))) AS si, unnest(ss) AS sentence FROM s0),
+s2 AS (SELECT doc_id, pos, si, CASE WHEN length(sentence) <= {limit} THEN [sentence] ELSE list_filter(string_split_regex(sentence, '\s+'), lambda x: x <> '') END AS us, length(sentence) > {limit} AS long FROM s1),
+s3 AS (SELECT doc_id, pos, si, long, unnest(range(len(us))) AS ui, unnest(us) AS unit FROM s2),
+units AS (SELECT doc_id, pos, unit, length(unit) AS len, long AND ui = 0 AS cut, row_number() OVER (PARTITION BY doc_id, pos ORDER BY si, ui) AS i FROM s3),
+walk AS (SELECT doc_id, pos, i, len // {limit} AS whole, len % {limit} AS size, CAST(0 AS BIGINT) AS base, false AS joins FROM units WHERE i = 1 UNION ALL
+  SELECT u.doc_id, u.pos, u.i, CASE WHEN j THEN 0 ELSE u.len // {limit} END, CASE WHEN j THEN w.size + 1 + u.len ELSE u.len % {limit} END,
+    CASE WHEN j THEN w.base + w.whole ELSE w.base + w.whole + CASE WHEN w.size > 0 THEN 1 ELSE 0 END END, j
+  FROM (SELECT w.*, u.len AS ulen, NOT u.cut AND w.size > 0 AND w.size + 1 + u.len <= {limit} AS j FROM walk w JOIN units u ON u.doc_id = w.doc_id AND u.pos = w.pos AND u.i = w.i + 1) w
+  JOIN units u ON u.doc_id = w.doc_id AND u.pos = w.pos AND u.i = w.i + 1),
+pieces AS (SELECT doc_id, pos, i, base + k AS part_no, substr(unit, CAST(k * {limit} + 1 AS BIGINT), {limit}) AS piece FROM (SELECT w.doc_id, w.pos, w.i, base, unit, unnest(range(whole)) AS k FROM walk w JOIN units u ON u.doc_id = w.doc_id AND u.pos = w.pos AND u.i = w.i WHERE NOT joins)
+  UNION ALL SELECT w.doc_id, w.pos, w.i, base + whole, CASE WHEN joins THEN unit ELSE substr(unit, CAST(whole * {limit} + 1 AS BIGINT)) END FROM walk w JOIN units u ON u.doc_id = w.doc_id AND u.pos = w.pos AND u.i = w.i WHERE joins OR size > 0),
+parts AS (SELECT doc_id, pos, CAST(part_no AS INTEGER) AS part_no, string_agg(piece, ' ' ORDER BY i) AS part FROM pieces GROUP BY doc_id, pos, part_no)"""
+
+
 SQL = {
+    "doc_chunks": rf"""WITH RECURSIVE {_LINES}, kept AS (SELECT doc_id, pos, line AS txt FROM l WHERE fingerprint NOT IN (SELECT fingerprint FROM rep)), big AS (SELECT * FROM kept WHERE length(txt) > 3000), {_split('big')},
+a AS (SELECT doc_id, pos, 0 AS part_no, txt AS part FROM kept WHERE length(txt) <= 3000 UNION ALL SELECT doc_id, pos, part_no, part FROM parts),
+n AS (SELECT doc_id, part, length(part) AS size, row_number() OVER (PARTITION BY doc_id ORDER BY pos, part_no) AS i FROM a),
+r AS (SELECT doc_id, i, 1 AS chunk_no, size FROM n WHERE i = 1 UNION ALL
+  SELECT n.doc_id, n.i, CASE WHEN r.size + 2 + n.size <= 3000 THEN r.chunk_no ELSE r.chunk_no + 1 END, CASE WHEN r.size + 2 + n.size <= 3000 THEN r.size + 2 + n.size ELSE n.size END FROM r JOIN n ON n.doc_id = r.doc_id AND n.i = r.i + 1)
+SELECT printf('DOC%d-UNSECTIONED-TEXT-%03d', n.doc_id, chunk_no) AS chunk_id, 'DOC' || n.doc_id AS document, 'text' AS content_type, CAST(NULL AS VARCHAR) AS section_number, CAST(NULL AS VARCHAR) AS section_title, 1 AS page_start, 1 AS page_end,
+  string_agg(part, chr(10) || chr(10) ORDER BY n.i) AS text FROM n JOIN r ON n.doc_id = r.doc_id AND n.i = r.i GROUP BY n.doc_id, chunk_no""",
+    "oversize_split": rf"""WITH RECURSIVE big AS (SELECT doc_id, 0 AS pos, text AS txt FROM documents WHERE length(text) > 3000), {_split('big')} SELECT doc_id, part_no, part FROM parts""",
     "chunk_pack": rf"""WITH RECURSIVE {_LINES}, n AS (SELECT doc_id, pos, line, length(line) AS size, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM l),
 r AS (SELECT doc_id, i, 1 AS chunk_no, size FROM n WHERE i = 1 UNION ALL
   SELECT n.doc_id, n.i, CASE WHEN r.size + 2 + n.size <= 3000 THEN r.chunk_no ELSE r.chunk_no + 1 END, CASE WHEN r.size + 2 + n.size <= 3000 THEN r.size + 2 + n.size ELSE n.size END FROM r JOIN n ON n.doc_id = r.doc_id AND n.i = r.i + 1)
@@ -190,9 +216,9 @@ p AS (SELECT *, CAST(sum(brk) OVER (PARTITION BY doc_id ORDER BY pos) AS BIGINT)
 SELECT doc_id, pos, CASE WHEN regexp_matches(b, '^[a-zà-öø-ÿ]') THEN line || b ELSE line || '- ' || b END AS clause_text, CASE WHEN regexp_matches(b, '^[a-zà-öø-ÿ]') THEN line || '-' || b ELSE line || '- ' || b END AS chunk_text FROM p WHERE b IS NOT NULL""",
     "title_similarity": f"WITH {_TITLES}, w AS (SELECT page_id, {_words('title')} AS a, {_words('h1')} AS b FROM t) SELECT page_id, {_similarity('a', 'b')} AS similarity FROM w",
     "best_evidence": f"""WITH {_TITLES}, p AS (SELECT page_id, {_words('title')} AS tw FROM t), i AS (SELECT item_id, {_words('text')} AS iw FROM benchmark),
-m AS (SELECT page_id, item_id, {_similarity('tw', 'iw')} AS similarity FROM p JOIN i ON len(list_filter(list_intersect(tw, iw), lambda x: length(x) >= 6)) > 0)
-SELECT page_id, item_id, similarity FROM m QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY similarity DESC, item_id) = 1""",
-    "bookmark_disagreement": f"""WITH {_TITLES}, p AS (SELECT page_id AS key, {_words('title')} AS tw FROM t WHERE page_id % 3 <> 0), i AS (SELECT item_id AS key, {_words('text')} AS iw FROM benchmark),
+m AS (SELECT page_id, item_id, {_similarity('tw', 'iw')} AS similarity FROM p JOIN i ON len(list_intersect(tw, iw)) > 0 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY similarity DESC, item_id) = 1)
+SELECT p.page_id, m.item_id, coalesce(m.similarity, 0.0::DOUBLE) AS similarity FROM p LEFT JOIN m ON m.page_id = p.page_id""",
+    "bookmark_disagreement": f"""WITH {_TITLES}, p AS (SELECT page_id AS key, {_words('title')} AS tw FROM t), i AS (SELECT item_id AS key, {_words('text')} AS iw FROM benchmark),
 m AS (SELECT i.key, tw, CASE WHEN tw IS NULL THEN 0.0::DOUBLE ELSE {_similarity('iw', 'tw')} END AS similarity FROM i LEFT JOIN p ON i.key = p.key)
 SELECT key, CASE WHEN tw IS NULL THEN 'missing' WHEN similarity < 0.35 THEN 'different title' ELSE 'same' END AS warning, similarity FROM m""",
     "keep_first_dup": "SELECT doc_id, md5(text) AS digest, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS occurrence, first(doc_id) OVER (PARTITION BY md5(text) ORDER BY doc_id) AS first_of FROM documents",

@@ -80,11 +80,11 @@ def enrich_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enrich_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcome = enrich_left_join(spark, sf_dir)
-    refs = _references(spark, sf_dir)
-    valid = refs.where("document = 'CUST-1'")
-    seen = valid.groupBy("target").count().agg(F.count("*").alias("unique_retrievals"), F.sum("count").alias("_valid"))
-    totals = outcome.agg(F.count("*").alias("records"), F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") == "error").alias("errors"))
-    return totals.join(seen).select("records", "ok", "errors", "unique_retrievals", (F.col("_valid") - F.col("unique_retrievals")).alias("cache_hits"))
+    # One row per target of a known document, and one for all references to others.
+    refs = outcome.join(_references(spark, sf_dir).select("o_orderkey", F.when(F.col("document") == "CUST-1", F.col("target")).alias("target")), "o_orderkey")
+    per = refs.groupBy("target").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "ok").alias("ok"))
+    known, total = F.col("target").isNotNull(), lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return per.agg(total("n").alias("records"), total("n").alias("occurrences"), total("ok").alias("ok"), total(F.col("n") - F.col("ok")).alias("errors"), total(F.when(known, 0).otherwise(F.col("n"))).alias("unparsed"), total(F.col("n") - F.col("ok")).alias("records_with_issues"), F.count("target").alias("unique_retrievals"), total(F.when(known, F.col("n") - 1)).alias("cache_hits"))
 
 
 def parent_title(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,19 +125,19 @@ def nearest_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each customer the supplier of its nation whose balance is nearest."""
     left = _table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), "c_acctbal")
     right = _table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), "s_acctbal")
-    return spatial.nearest(left, right, ["nation"], "c_custkey", "c_acctbal", "s_suppkey", "s_acctbal").select("c_custkey", "s_suppkey", F.round("distance", 6).alias("distance"))
+    return spatial.nearest(left, right, ["nation"], "c_custkey", "c_acctbal", "s_suppkey", "s_acctbal", width=10.0).select("c_custkey", "s_suppkey", F.round("distance", 6).alias("distance"))
 
 
 def nested_box_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.drop_nested(_boxes(spark, sf_dir).withColumn("text", F.col("l_partkey").cast("string")), ["l_orderkey"], ["y0", "x0", "l_partkey"])
+    return spatial.drop_nested(_boxes(spark, sf_dir).withColumn("text", F.col("l_partkey").cast("string")), ["l_orderkey"], ["y0", "x0", "l_partkey", "l_linenumber"])
 
 
 def visual_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.visual_rows(_boxes(spark, sf_dir).withColumn("ord", F.col("l_partkey")), ["l_orderkey"])
+    return spatial.visual_rows(_boxes(spark, sf_dir).withColumn("ord", F.col("l_partkey") * 100 + F.col("l_linenumber")), ["l_orderkey"])
 
 
 def center_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.center_rows(_boxes(spark, sf_dir).withColumn("ord", F.col("l_partkey")), ["l_orderkey"])
+    return spatial.center_rows(_boxes(spark, sf_dir).withColumn("ord", F.col("l_partkey") * 100 + F.col("l_linenumber")), ["l_orderkey"])
 
 
 def median_mad(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,8 +169,8 @@ def event_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events and orders of the same day of the month in one stream, orders first."""
     events = _table(spark, sf_dir, "events").select(F.dayofmonth("ts").alias("day"), F.lit(1).alias("priority"), F.col("event_id").alias("id"))
     orders = _table(spark, sf_dir, "orders").select(F.dayofmonth("o_orderdate").alias("day"), F.lit(0).alias("priority"), F.col("o_orderkey").alias("id"))
-    merged = sequence.counter(events.unionByName(orders), ["day"], ["priority", "id"], "place")
-    return merged.select("day", "priority", "id", F.col("place").cast("long").alias("place"))
+    chunk = F.struct("priority", F.floor(F.col("id") / 10_000).alias("block"))
+    return sequence.chunked_counter(events.unionByName(orders), ["day"], chunk, ["priority", "id"], "place").select("day", "priority", "id", "place")
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +192,28 @@ _CITE = r"""c AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'ARP4754A 5.'
   WHEN 2 THEN 'see Annex Q; DO-297 4.' || (p_partkey % 6) || ' b, DO-297 4.' || (p_partkey % 6) || ' b' ELSE 'ARP 4754 6.' || (p_partkey % 5) || ' / part ' || p_partkey END AS cell FROM part),
 m AS (SELECT p_partkey, cell, unnest(regexp_extract_all(cell, '(?i)(?:\bARP\s*4754[A-Z]?\s+\d+(?:\.\d+)+(?:\s+[a-z]\b(?:\s*\(\d+\)(?:\s*,?\s*\(\d+\))*)?)?|\bENG[\s-]*STD[\s-]*011\s+RS[\s-]*\d+|\bDO[\s-]*297\s+\d+(?:\.\d+)+(?:\s+[a-z]\b)?)')) AS hit, generate_subscripts(regexp_extract_all(cell, '(?i)(?:\bARP\s*4754[A-Z]?\s+\d+(?:\.\d+)+(?:\s+[a-z]\b(?:\s*\(\d+\)(?:\s*,?\s*\(\d+\))*)?)?|\bENG[\s-]*STD[\s-]*011\s+RS[\s-]*\d+|\bDO[\s-]*297\s+\d+(?:\.\d+)+(?:\s+[a-z]\b)?)'), 1) AS i FROM c)"""
 
+_OVER = "least(b{0}, y1) - greatest(t{0}, y0) >= 0.35::DOUBLE * least(greatest(y1 - y0, 1), b{0} - t{0})"
+_ITEMS = "SELECT *, l_partkey * 100 + l_linenumber AS ord FROM bx"
+
 SQL = {
+    "nested_box_dedupe": rf"""WITH RECURSIVE {_BOXES}, n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY y0, x0, l_partkey, l_linenumber) AS i, {{'l_partkey': l_partkey, 'l_linenumber': l_linenumber, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1, 'text': CAST(l_partkey AS VARCHAR)}} AS b FROM bx),
+f AS (SELECT l_orderkey, i, [b] AS kept FROM n WHERE i = 1 UNION ALL
+  SELECT l_orderkey, i, CASE WHEN hit IS NULL THEN list_append(kept, b) ELSE list_transform(kept, lambda k, j: CASE WHEN j = hit AND length(b.text) > length(k.text) THEN {{'l_partkey': k.l_partkey, 'l_linenumber': k.l_linenumber, 'x0': k.x0, 'y0': k.y0, 'x1': k.x1, 'y1': k.y1, 'text': b.text}} ELSE k END) END
+  FROM (SELECT n.l_orderkey, n.i, n.b, f.kept, list_position(list_transform(f.kept, lambda k: least(k.x1, n.x1) > greatest(k.x0, n.x0) AND least(k.y1, n.y1) > greatest(k.y0, n.y0) AND least((k.x1 - k.x0) * (k.y1 - k.y0), (n.x1 - n.x0) * (n.y1 - n.y0)) > 0
+    AND (least(k.x1, n.x1) - greatest(k.x0, n.x0)) * (least(k.y1, n.y1) - greatest(k.y0, n.y0)) / least((k.x1 - k.x0) * (k.y1 - k.y0), (n.x1 - n.x0) * (n.y1 - n.y0)) >= 0.95::DOUBLE), true) AS hit FROM f JOIN n ON n.l_orderkey = f.l_orderkey AND n.i = f.i + 1)),
+e AS (SELECT l_orderkey, unnest(kept) AS k FROM f QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY i DESC) = 1) SELECT l_orderkey, k.l_partkey AS l_partkey, k.l_linenumber AS l_linenumber, k.x0 AS x0, k.y0 AS y0, k.x1 AS x1, k.y1 AS y1, k.text AS text FROM e""",
+    "visual_rows": rf"""WITH RECURSIVE {_BOXES}, n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY (y0 + y1) / 2, x0, ord) AS i FROM ({_ITEMS})),
+f AS (SELECT l_orderkey, i, 1 AS n_rows, 0 AS row_no, y0 AS t1, y1 AS b1, CAST(NULL AS DOUBLE) AS t2, CAST(NULL AS DOUBLE) AS b2, CAST(NULL AS DOUBLE) AS t3, CAST(NULL AS DOUBLE) AS b3 FROM n WHERE i = 1 UNION ALL
+  SELECT l_orderkey, i, CASE WHEN j = 0 THEN n_rows + 1 ELSE n_rows END, CASE WHEN j = 0 THEN n_rows ELSE n_rows - j END,
+    CASE j WHEN 0 THEN y0 WHEN 1 THEN least(t1, y0) ELSE t1 END, CASE j WHEN 0 THEN y1 WHEN 1 THEN greatest(b1, y1) ELSE b1 END,
+    CASE j WHEN 0 THEN t1 WHEN 2 THEN least(t2, y0) ELSE t2 END, CASE j WHEN 0 THEN b1 WHEN 2 THEN greatest(b2, y1) ELSE b2 END,
+    CASE j WHEN 0 THEN t2 WHEN 3 THEN least(t3, y0) ELSE t3 END, CASE j WHEN 0 THEN b2 WHEN 3 THEN greatest(b3, y1) ELSE b3 END
+  FROM (SELECT f.l_orderkey, n.i, n_rows, y0, y1, t1, b1, t2, b2, t3, b3, CASE WHEN {_OVER.format(1)} THEN 1 WHEN n_rows > 1 AND {_OVER.format(2)} THEN 2 WHEN n_rows > 2 AND {_OVER.format(3)} THEN 3 ELSE 0 END AS j FROM f JOIN n ON n.l_orderkey = f.l_orderkey AND n.i = f.i + 1))
+SELECT n.l_orderkey, l_partkey, l_linenumber, x0, y0, x1, y1, ord, row_no FROM n JOIN f ON f.l_orderkey = n.l_orderkey AND f.i = n.i""",
+    "center_rows": rf"""WITH RECURSIVE {_BOXES}, n AS (SELECT *, (y0 + y1) / 2 AS c, greatest(1.5::DOUBLE, 0.3::DOUBLE * median(y1 - y0) OVER (PARTITION BY l_orderkey)) AS tol, row_number() OVER (PARTITION BY l_orderkey ORDER BY y0, x0, ord) AS i FROM ({_ITEMS})),
+f AS (SELECT l_orderkey, i, 0 AS row_no, c AS total, 1 AS k FROM n WHERE i = 1 UNION ALL
+  SELECT n.l_orderkey, n.i, CASE WHEN abs(c - total / k) <= tol THEN row_no ELSE row_no + 1 END, CASE WHEN abs(c - total / k) <= tol THEN total + c ELSE c END, CASE WHEN abs(c - total / k) <= tol THEN k + 1 ELSE 1 END FROM f JOIN n ON n.l_orderkey = f.l_orderkey AND n.i = f.i + 1)
+SELECT n.l_orderkey, l_partkey, l_linenumber, x0, y0, x1, y1, ord, row_no FROM n JOIN f ON f.l_orderkey = n.l_orderkey AND f.i = n.i""",
     "section_carry_forward": "SELECT event_id, user_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM events",
     "order_violations": """WITH n AS (SELECT event_id, user_id, [CAST(json_extract_string(props, '$.k') AS BIGINT) % 4 + 1, CAST(floor(value) AS BIGINT)] AS k FROM events), b AS (SELECT *, lag(k) OVER (PARTITION BY user_id ORDER BY event_id) AS before FROM n)
 SELECT event_id, user_id, array_to_string(k, '.') AS number, array_to_string(before, '.') AS previous FROM b WHERE k < before""",
@@ -208,9 +229,9 @@ u AS (SELECT p_partkey, i, unnest(names) AS name, generate_subscripts(names, 1)
 a AS (SELECT p_partkey, string_agg(name, '; ' ORDER BY spot) AS canonical FROM f GROUP BY p_partkey)
 SELECT p_partkey, canonical, CASE p_partkey % 4 WHEN 2 THEN 'see Annex Q' WHEN 3 THEN 'part ' || p_partkey ELSE '' END AS residual FROM a""",
     "enrich_left_join": f"WITH {_REFS} SELECT o_orderkey, CASE WHEN known AND c_name IS NOT NULL THEN 'ok' ELSE 'error' END AS status, CASE WHEN known THEN c_name END AS content, CASE WHEN NOT known THEN 'unknown_document' WHEN c_name IS NULL THEN 'not_found' END AS error_type FROM j",
-    "enrich_counters": f"WITH {_REFS} SELECT count(*) AS records, count(*) FILTER (known AND c_name IS NOT NULL) AS ok, count(*) FILTER (NOT (known AND c_name IS NOT NULL)) AS errors, count(DISTINCT target) FILTER (known) AS unique_retrievals, count(*) FILTER (known) - count(DISTINCT target) FILTER (known) AS cache_hits FROM j",
+    "enrich_counters": f"WITH {_REFS} SELECT count(*) AS records, count(*) AS occurrences, count(*) FILTER (known AND c_name IS NOT NULL) AS ok, count(*) FILTER (NOT (known AND c_name IS NOT NULL)) AS errors, count(*) FILTER (NOT known) AS unparsed, count(*) FILTER (NOT (known AND c_name IS NOT NULL)) AS records_with_issues, count(DISTINCT target) FILTER (known) AS unique_retrievals, count(*) FILTER (known) - count(DISTINCT target) FILTER (known) AS cache_hits FROM j",
     "parent_title": "SELECT n_nationkey, r_name AS parent_title, r_name IS NULL AS orphan FROM nation LEFT JOIN region ON r_regionkey = CASE WHEN n_nationkey % 7 = 0 THEN 99 ELSE n_regionkey END",
-    "longest_prefix": """WITH t AS (SELECT p_partkey, [CAST(p_size % 5 AS BIGINT), CAST(p_size % 3 AS BIGINT), p_partkey % 7] AS number FROM part), o AS (SELECT number[1:1] AS number, p_partkey AS ord FROM t WHERE p_partkey % 10 < 3 AND p_partkey < 40 UNION ALL SELECT number[1:2], p_partkey FROM t WHERE p_partkey % 10 < 3 AND p_partkey % 3 = 0 AND p_partkey < 40),
+    "longest_prefix": """WITH t AS (SELECT p_partkey, [CAST(p_size % 5 AS BIGINT), CAST(p_size % 3 AS BIGINT), p_partkey % 7] AS number FROM part), o AS (SELECT number, max(ord) AS ord FROM (SELECT number[1:1] AS number, p_partkey AS ord FROM t UNION ALL SELECT number[1:2], p_partkey FROM t WHERE p_partkey % 3 = 0) GROUP BY number),
 m AS (SELECT t.p_partkey, o.number, o.ord, row_number() OVER (PARTITION BY t.p_partkey ORDER BY len(o.number) DESC, o.ord DESC) AS rn FROM t JOIN o ON t.number[1:len(o.number)] = o.number)
 SELECT t.p_partkey, array_to_string(m.number, '.') AS prefix, m.ord AS entry FROM t LEFT JOIN m ON t.p_partkey = m.p_partkey AND rn = 1""",
     "next_peer": "SELECT a.event_id, a.user_id, min(b.event_id) AS next_row FROM events a LEFT JOIN events b ON a.user_id = b.user_id AND b.event_id > a.event_id AND abs(b.value - a.value) <= 10 GROUP BY a.event_id, a.user_id",

@@ -5,4 +5,4 @@ from __future__ import annotations
 from quire.plans import documents, records, streams
 
 QUERIES: dict = documents.QUERIES | records.QUERIES | streams.QUERIES
-SQL: dict[str, str] = documents.SQL | records.SQL
+SQL: dict[str, str] = documents.SQL | records.SQL | streams.SQL

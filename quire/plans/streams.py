@@ -36,3 +36,9 @@ def stream_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (stream_first_seen, stream_carry_forward)}
+
+#: The streams end where the files do, so their rows are those of a batch.
+SQL = {
+    "stream_first_seen": "SELECT DISTINCT user_id, event_type FROM events",
+    "stream_carry_forward": "SELECT user_id, event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM events",
+}

@@ -47,12 +47,18 @@ def _bands(h: np.ndarray, multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out.view(np.int64), np.packbits(planes.astype(bool).ravel()).view(np.int64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Small parts of batches, so that few texts' shingles are held at a time."""
+    for b in batches:
+        yield from (b.slice(at, rows) for at in range(0, b.num_rows, rows))
+
+
 def _marks(source: DataFrame, words: int) -> DataFrame:
     """(id, key, node, n, fp, bits, bands) per row; key is the text's hash and node its node, 0 for all texts without words; fp is its SimHash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, multipliers = Powers(), np.random.default_rng(2014).integers(1 << 62, 1 << 63, ROWS * BANDS, dtype=np.uint64) | _U(1)
-        for b in filter(len, batches):
+        for b in _slices(batches):
             texts = b.column(2).to_numpy(zero_copy_only=False).tolist()
             sets = [_set(t, powers, words) for t in texts]
             marks = np.fromiter((simhash.fingerprint(t, words) for t in texts), np.uint64, b.num_rows).view(np.int64)
@@ -68,7 +74,7 @@ def _sets(source: DataFrame, needed: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for b in batches:
+        for b in _slices(batches):
             sets = [_set(t.as_py(), powers, words).view(np.int64) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 

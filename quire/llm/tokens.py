@@ -17,9 +17,9 @@ from tokenizers import Tokenizer
 #: Texts longer than this many characters are encoded as overlapping chunks.
 CHUNK, OVERLAP = 1 << 15, 256
 #: Words that one generation of a worker's memo holds; longer keys than LONG_KEY characters are not remembered.
-MEMO, LONG_KEY = 400_000, 64
+MEMO, LONG_KEY = 200_000, 64
 #: Bytes of text whose pieces are looked up together.
-GATHER = 1 << 23
+GATHER = 1 << 22
 
 # Characters beside which a single space is certainly the start of a new pre-token: they are no white space,
 # and in byte-level patterns only white space can extend over a following space.

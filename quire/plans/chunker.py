@@ -70,7 +70,7 @@ def candidates(rows: DataFrame, toc: DataFrame) -> DataFrame:
     sources = F.coalesce("sources", F.array().cast("array<string>"))
     points = (
         (F.col("bold"), 2.0), (F.col("font_size") >= F.col("body_font") - 0.25, 1.0), (F.col("x_ratio") <= COLUMN, 1.0), (F.array_contains(sources, "toc"), 3.0), (F.array_contains(sources, "bookmark"), 3.0), (sim >= STRONG, 0.5),
-        (title.rlike("^[^a-z]+$") & (F.length(title) <= 120), 0.25), ((F.col("y_ratio") <= 0.105) & (F.col("font_size") < F.col("body_font") - 0.25), -2.0), (F.length(title) > 220, -1.5),
+        (title.rlike("^[^a-z]+$") & (F.length(title) <= 120), 0.25), ((F.col("y_ratio") < 0.095) & (F.col("font_size") < F.col("body_font") - 0.5), -2.0), (F.length(title) > 220, -1.5),
     )
     score = sum((F.when(c, p).otherwise(0.0) for c, p in points), F.lit(0.0))
     return joined.select("doc_id", "page_index", "ord", "title_ord", "y0", "x0", "x_ratio", number.alias("section_number"), title.alias("section_title"), score.alias("score"), (F.size(sources) > 0).alias("has_evidence"), (F.coalesce("e.fix", F.lit(0)) == 1).alias("source_typo")).where((F.col("x_ratio") <= COLUMN) & (F.col("has_evidence") | F.contains("section_number", F.lit("."))))

@@ -15,6 +15,8 @@ from quire.functions import numbering as N
 from quire.operators import boundaries, margins
 
 INDENT, COLUMN = 0.03, 0.025
+#: Fixed value: a section number at a line's start has two parts or more; a bare integer is none.
+SECTION = r"^\s*(\d+(?:\.\d+)+)(?:\s|$|[-–—:])"
 
 
 def parse_address(c: Column) -> Column:
@@ -28,7 +30,7 @@ def body_lines(lines: DataFrame, top: float = 0.05, bottom: float = 0.03) -> Dat
     """Lines with text whose center is outside the margins, with x_ratio, y_ratio, section number and item letter."""
     y = G.ratio((F.col("y0") + F.col("y1")) / 2, F.col("page_height"))
     placed = lines.where(F.trim("text") != "").withColumn("y_ratio", y).where(G.in_band(F.col("y_ratio"), top, bottom))
-    return placed.withColumn("x_ratio", G.ratio(F.col("x0"), F.col("page_width"))).withColumn("number", N.section_number(F.col("text"))).withColumn("letter", F.lower(N.lettered_item(F.col("text")))).withColumn("sub", N.numbered_item(F.col("text")))
+    return placed.withColumn("x_ratio", G.ratio(F.col("x0"), F.col("page_width"))).withColumn("number", F.nullif(F.regexp_extract("text", SECTION, 1), F.lit(""))).withColumn("letter", F.lower(N.lettered_item(F.col("text")))).withColumn("sub", N.numbered_item(F.col("text")))
 
 
 def section_bounds(lines: DataFrame, targets: DataFrame) -> DataFrame:

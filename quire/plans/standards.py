@@ -33,7 +33,7 @@ def requirements(cells: DataFrame) -> DataFrame:
     own = N.section_number(F.get("cells", F.lit(1)))
     w = Window.partitionBy("file").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     return rows.select(
-        "file", "ord", F.get("cells", F.lit(0)).alias("id"), N.record_type(F.get("cells", F.lit(1))).alias("type"), F.last(own, ignorenulls=True).over(w).alias("section_number"),
+        "file", "ord", F.upper(F.get("cells", F.lit(0))).alias("id"), N.record_type(F.get("cells", F.lit(1))).alias("type"), F.last(own, ignorenulls=True).over(w).alias("section_number"),
         F.get("cells", F.lit(1)).alias("specification"), F.nullif(F.get("cells", F.lit(2)), F.lit("")).alias("rationale"), T.yes_no(F.get("cells", F.lit(3))).alias("req"),
         F.struct("file", F.col("table_no").alias("table"), F.col("row_no").alias("word_row")).alias("source"),
     )

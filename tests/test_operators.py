@@ -129,6 +129,19 @@ def test_clauses(spark):
     assert (got["9.9 b"]["error_type"], got["Annex Q"]["error_type"]) == ("not_found", "bad_address")
 
 
+def test_a_bare_integer_ends_no_section(spark):
+    lines = layout(spark, [(0, "5.1 Scope", 100, 100, 12, True), (0, "a. first", 100, 112, 10, False), (0, "5 items follow", 100, 124, 12, True), (0, "5.2 Next", 100, 136, 12, True)])
+    got = clauses.clauses(lines, spark.createDataFrame([("d", "5.1")], "doc_id string, reference string")).first()
+    assert got["text"].endswith("5 items follow")
+
+
+def test_ids_are_upper_case(spark, tmp_path):
+    (tmp_path / "r.docx").write_bytes(docx([("nio-3", "4 A", "", ""), ("NIO-3", "4.1 B", "", "")]))
+    cells = files.read_docx(spark, str(tmp_path / "r.docx"))
+    assert [r["id"] for r in standards.requirements(cells).collect()] == ["NIO-3", "NIO-3"]
+    assert ("duplicate_id", "NIO-3") in {(r["code"], r["detail"]) for r in standards.requirement_warnings(cells).collect()}
+
+
 def test_standard_clauses(spark):
     lines = layout(spark, [(0, "RS001 one", 100, 100, 10, True), (0, "text", 100, 112, 10, False), (0, "RS002 two", 102, 124, 10, True), (0, "RS009 elsewhere", 500, 136, 10, True)])
     got = {r["mark"]: r for r in clauses.standard_clauses(lines).collect()}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Rows with ``crc32(id as text) % FOLDS == 0`` are held out from learning.
 FOLDS = 5
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,18 +33,27 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: lineage is cut, a lost executor costs nothing."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+    """Write ``df`` as Parquet to the shared folder and read it back: lineage is cut, a lost executor costs nothing.
 
-def drop_paths(spark: SparkSession, *paths: str) -> None:
-    """Delete scratch tables that no later plan reads."""
-    jvm = spark.sparkContext._jvm
-    for path in paths:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    The shuffle files of the write go as soon as it is done, as no later plan reads them.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._scratch_path = path
+    return made
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete materialized tables. Nothing may read them any more: what was made of them has been written, too."""
+    for t in tables:
+        at = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+        at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import materialize, release
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -22,7 +22,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Of links (a, b) between longs, one row (node, root) per node that has a link to another; root is the smallest reachable.
 
     Nulls and self links have no effect; an empty table gives an empty table. Every round is written to the
-    shared folder, so the plan stays short and survives lost executors. Hubs are reduced by a partial minimum
+    shared folder, so the plan stays short and survives lost executors; the result is such a table, and those of the
+    rounds are deleted. Hubs are reduced by a partial minimum
     before the shuffle, and the join that hands a hub's minimum back may be split by the adaptive skew join.
     """
     edges = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -30,5 +31,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     while True:
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_000_007).alias("h")).first()
         if (state["n"], state["h"]) == seen or not state["n"]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
-        seen, edges = (state["n"], state["h"]), materialize(_stars(edges), label)
+            break
+        seen, before = (state["n"], state["h"]), edges
+        edges = materialize(_stars(before), label)
+        release(before)
+    made = materialize(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct(), f"{label}-roots")
+    release(edges)
+    return made

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import simhash
-from quire.llm.common import materialize
+from quire.llm.common import materialize, release
 from quire.llm.components import components
 from quire.llm.containment import Powers, mix, shingle_hashes
 
@@ -112,6 +112,7 @@ def links(source: DataFrame, nodes: DataFrame, *, words: int, threshold: float,
     shared = materialize(entries.join(entries.groupBy("key").count().where("count > 1"), "key", "left_semi"), "near-shared")
     seeds = materialize(_hashed(nodes), "near-seeds")
     if shared.isEmpty() and seeds.isEmpty():
+        release(shared, seeds)
         return None
     needed = materialize(shared.select("node").unionByName(seeds.select(F.col("a").alias("node"))).unionByName(seeds.select(F.col("b").alias("node"))).distinct(), "near-needed")
     sets = materialize(_sets(source, needed, words), "near-sets")
@@ -126,29 +127,33 @@ def links(source: DataFrame, nodes: DataFrame, *, words: int, threshold: float,
     rough = sum(F.bit_count(planes(i, 1)) for i in range(longs)) <= above((1 - threshold) / 2)
     fits = (F.least("n", "n2") >= F.lit(threshold) * F.greatest("n", "n2") - 1e-6) & rough
     sides = known.select(F.col("node").alias("a"), "n", "bits"), known.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("bits").alias("bits2"))
-    found = materialize(_similar(seeds, sets, threshold), "near-first")
+    parts = [materialize(_similar(seeds, sets, threshold), "near-first")]
+    release(seeds, needed)
     weights = shared.join(shared.groupBy("key").agg(F.count("*").alias("members")), "key").groupBy("node").agg(F.sum("members").alias("w"))
-    left = materialize(_classed(shared.join(weights, "node"), found), "near-left")
+    left = _classed(shared.join(weights, "node"), parts, shared)
     for _ in range(pivots):
         mixed = left.groupBy("key").agg(F.count("*").alias("members"), F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.max(F.struct("w", "node", "cls")).alias("p")).where("lo < hi")
         mixed = materialize(mixed.select("key", "members", F.col("p.node").alias("node2"), F.col("p.cls").alias("cls2")), "near-mixed")
         big = mixed.where(F.col("members") > crowded)
         if big.isEmpty():
+            release(mixed)
             break
         pairs = left.join(big, "key").where("node <> node2 and cls <> cls2").select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
         pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(fits & (differ <= far)).select("a", "b")
         more = materialize(_similar(pairs, sets, threshold), "near-pivots")
-        found = found.unionByName(more)
         rest = left.join(mixed.select("key", "node2", "members"), "key").where((F.col("node") != F.col("node2")) | (F.col("members") <= crowded)).select("key", "node", "w", "cls")
-        left = materialize(rest if more.isEmpty() else _classed(rest, found), "near-left")
+        parts.append(more)
+        left = _classed(rest, [] if more.isEmpty() else parts, left, mixed)
     earlier = lambda i: (i < F.lit(BANDS)) & F.exists(F.zip_with(F.slice("digests", 1, i), F.slice("digests2", 1, i), lambda x, y: x == y), lambda x: x)
     for least, most in ((-1, near), (near, far)):
         mixed = left.join(left.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi"), "key", "left_semi").join(known, "node")
         mixed = mixed.select("key", "node", "cls", "n", "bits", "digests", (F.array_position("digests", _digest(F.col("key"))) - 1).cast("int").alias("band"))
         other = mixed.select("key", *[F.col(c).alias(f"{c}2") for c in mixed.columns if c != "key"])
         pairs = mixed.join(other, "key").where("node < node2 and cls <> cls2").where(fits & ((differ <= most) if least < 0 else (differ <= most) & (differ > least)) & ~earlier(F.col("band"))).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
-        found = found.unionByName(materialize(_similar(pairs, sets, threshold), "near-links"))
-        left = materialize(_classed(left, found), "near-left") if most == near else left
+        parts.append(materialize(_similar(pairs, sets, threshold), "near-links"))
+        left = _classed(left, parts, left) if most == near else left
+    found = materialize(_all(parts), "near-found")
+    release(left, sets, known, *parts)
     return found
 
 
@@ -157,10 +162,20 @@ def _digest(key: Column) -> Column:
     return F.shiftright(key, 33).cast("int")
 
 
-def _classed(left: DataFrame, found: DataFrame) -> DataFrame:
-    """``left`` with the classes that the links found so far make."""
-    roots = materialize(components(found, "near-classes"), "near-class")
-    return left.select("key", "node", "w").join(roots, "node", "left").select("key", "node", "w", F.coalesce("root", "node").alias("cls"))
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _classed(left: DataFrame, parts: list[DataFrame], *old: DataFrame) -> DataFrame:
+    """``left`` with the classes that the links found so far make (as it is, without links), written; ``old`` tables go then."""
+    if not parts:
+        made = materialize(left, "near-left")
+    else:
+        roots = components(_all(parts), "near-classes")
+        made = materialize(left.select("key", "node", "w").join(roots, "node", "left").select("key", "node", "w", F.coalesce("root", "node").alias("cls")), "near-left")
+        release(roots)
+    release(*old)
+    return made
 
 
 def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE, threshold: float = THRESHOLD, crowded: int = CROWDED, pivots: int = PIVOTS) -> DataFrame:
@@ -176,12 +191,17 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     marks = materialize(_marks(source, words), "near-marks")
     own = F.struct(F.col("id").isNull().alias("absent"), F.coalesce("id", F.lit(0)).alias("id"), F.col("key").alias("key"))
     nodes = materialize(marks.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("bands").alias("bands"), F.min(own).alias("least")), "near-nodes")
+    rows = materialize(marks.select("id", "key", "node"), "near-rows")
+    release(marks)
     made = links(source.select("node", "text"), nodes.where("n > 0"), words=words, threshold=threshold, crowded=crowded, pivots=pivots)
     if made is None:
         linked = nodes.select("node", "least", F.col("node").alias("root"))
     else:
-        roots = materialize(components(made, "near-components"), "near-roots")
+        roots = components(made, "near-components")
+        release(made)
         linked = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     linked = materialize(linked, "near-linked")
+    release(nodes, *([] if made is None else [roots]))
     labels = materialize(linked.join(linked.groupBy("root").agg(F.min("least").alias("lead")), "root").select("node", "lead"), "near-labels")
-    return marks.select("id", "key", "node").join(labels, "node").select("id", "key", F.when(~F.col("lead.absent"), F.col("lead.id")).alias("component_id"), (own == F.col("lead")).alias("first"))
+    release(linked)
+    return rows.join(labels, "node").select("id", "key", F.when(~F.col("lead.absent"), F.col("lead.id")).alias("component_id"), (own == F.col("lead")).alias("first"))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import materialize, release
 from quire.llm.components import components
 
 #: A segment bucket with more fingerprints than this is contracted first, so that a large group of near copies costs no pairs.
@@ -74,8 +74,9 @@ def links(nodes: DataFrame, *, max_bits: int = 3, crowded: int = CROWDED) -> Dat
         ball = F.concat(F.array("fp"), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))
         points = full.select("fp", F.explode(ball).alias("center")).groupBy("center").agg(F.collect_set("fp").alias("all")).where(F.size("all") > 1)
         stars = materialize(points.select(F.explode("all").alias("a"), F.array_min("all").alias("b")).where("a <> b").distinct(), "simhash-stars")
-        classes = materialize(components(stars, "simhash-classes"), "simhash-class")
+        classes = components(stars, "simhash-classes")
         nodes = materialize(nodes.join(classes.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("cls")), "simhash-nodes")
+        release(classes)
     else:
         nodes = nodes.select("fp", F.col("fp").alias("cls"))
     entries = _segments(nodes, "cls")
@@ -103,10 +104,11 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     marks = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, words=words, seed=seed), "simhash-fps")
     nodes = materialize(marks.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    roots = materialize(components(links(nodes.select("fp"), max_bits=max_bits, crowded=crowded), "simhash-links"), "simhash-roots")
+    roots = components(links(nodes.select("fp"), max_bits=max_bits, crowded=crowded), "simhash-links")
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = materialize(linked.join(named, "root").select("fp", "component_id"), "simhash-labels")
+    release(nodes, roots)
     return marks.join(labels, "fp").select("id", "fp", "component_id")
 
 

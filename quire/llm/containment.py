@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize
+from quire.llm.common import materialize, trimmed
 
 #: Items searched in one pass over the documents; more are searched in several passes.
 ITEMS = 20_000
@@ -239,7 +239,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names=["id", "item_id", "n_shingles", "n_shared", "containment"])
 
-        passes.append(source.mapInArrow(run, schema))
+        passes.append(source.mapInArrow(trimmed(run), schema))
     if not passes:
         return docs.sparkSession.createDataFrame([], schema)
     if len(passes) > 1:
@@ -262,7 +262,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
                     keep[[at + d for d, _, _ in known.matches(texts, powers, threshold)]] = False
                 yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(trimmed(run), docs.schema)
     return docs
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import simhash
-from quire.llm.common import materialize, release
+from quire.llm.common import materialize, release, trimmed
 from quire.llm.components import components
 from quire.llm.containment import Powers, mix, shingle_hashes
 
@@ -25,7 +25,7 @@ HASHES, PLANES, DEVIATIONS = ROWS * BANDS, 4, 5
 CROWDED, PIVOTS = 64, 3
 
 _U = np.uint64
-_BLOCK = 1 << 13
+_BLOCK = 1 << 11
 
 
 def _set(text: str | None, powers: Powers, words: int) -> np.ndarray:
@@ -66,7 +66,7 @@ def _marks(source: DataFrame, words: int) -> DataFrame:
             bands, bits = (pa.array(x, pa.list_(pa.int64())) for x in zip(*(_bands(s, multipliers) for s in sets), strict=True))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(list(map(len, sets)), pa.int32()), pa.array(marks), bits, bands], names=["id", "key", "node", "n", "fp", "bits", "bands"])
 
-    return source.mapInArrow(run, "id long, key long, node long, n int, fp long, bits array<long>, bands array<long>")
+    return source.mapInArrow(trimmed(run), "id long, key long, node long, n int, fp long, bits array<long>, bands array<long>")
 
 
 def _sets(source: DataFrame, needed: DataFrame, words: int) -> DataFrame:
@@ -79,7 +79,7 @@ def _sets(source: DataFrame, needed: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     texts = source.join(needed, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    return texts.mapInArrow(run, "node long, shingles array<long>")
+    return texts.mapInArrow(trimmed(run), "node long, shingles array<long>")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:

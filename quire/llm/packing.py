@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 from tokenizers import normalizers as N
 from tokenizers import pre_tokenizers as P
 
+from quire.llm.common import trimmed
 from quire.llm.tokens import Cores, Pieces, marked, runs
 
 _SCHEMA = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -167,7 +168,7 @@ def pack(docs: DataFrame, *, path: str | None = None, id_col: str = "doc_id", te
             yield flush()
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return source.mapInArrow(trimmed(run), "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def digests(pieces: DataFrame) -> DataFrame:

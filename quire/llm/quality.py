@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quire.llm.common import held_out
+from quire.llm.common import held_out, trimmed
 from quire.llm.containment import _TO_SPACE, Powers, word_hashes
 from quire.llm.sampling import labelled_ids, rate, texts_of
 
@@ -114,7 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([s.tolist() for s in sparse], pa.list_(pa.int32())), pa.array([r[s].tolist() for r, s in zip(rows, sparse, strict=True)], pa.list_(pa.float32()))], names=["id", "label", "at", "n"])
 
     sample = texts_of(docs, labelled_ids(labels, label_col, per_class), id_col=id_col, text_col=text_col)
-    rows = sample.mapInArrow(run, "id long, label int, at array<int>, n array<float>").toArrow().combine_chunks()
+    rows = sample.mapInArrow(trimmed(run), "id long, label int, at array<int>, n array<float>").toArrow().combine_chunks()
     share = rate(labels, label_col)
     if not len(rows):
         return Model(np.ones(WIDTH, np.float32), np.zeros((WIDTH, 1), np.float32), np.empty((0, 1), np.float32), np.empty(0), 0.5 if share is None else share, neighbours)
@@ -149,7 +149,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", output: str
                 made[at : at + _ROWS] = shared.value.scores(np.array([terms(t.as_py()) for t in texts[at : at + _ROWS]]))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made)], names=[*b.schema.names, output])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(output, DoubleType())]))
+    return docs.mapInArrow(trimmed(run), StructType([*docs.schema.fields, StructField(output, DoubleType())]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001

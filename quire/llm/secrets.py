@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import fresh, materialize
+from quire.llm.common import fresh, materialize, trimmed
 
 #: Base kinds in their listed order; the method's own kinds follow.
 BASE_KINDS = ("assign", "access", "hex")
@@ -109,7 +109,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col:
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(owner_col).cast("string").alias("owner"), F.col(repo_col).cast("string").alias("repo"), F.col(text_col).cast("string").alias("text"))
     source = source.withColumn("text_key", F.xxhash64("text"))
-    return source.mapInArrow(run, f"uid long, id long, owner string, repo string, text_key long, base array<{_SPAN}>, more array<{_SPAN}>")
+    return source.mapInArrow(trimmed(run), f"uid long, id long, owner string, repo string, text_key long, base array<{_SPAN}>, more array<{_SPAN}>")
 
 
 def ownership(found: DataFrame) -> DataFrame:

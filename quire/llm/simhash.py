@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize, release
+from quire.llm.common import materialize, release, trimmed
 from quire.llm.components import components
 
 #: A segment bucket with more fingerprints than this is contracted first, so that a large group of near copies costs no pairs.
@@ -45,7 +45,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made.view(np.int64))], names=["id", "fp"])
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "id long, fp long")
+    return source.mapInArrow(trimmed(run), "id long, fp long")
 
 
 def _segments(df: DataFrame, *keep: str) -> DataFrame:

@@ -48,3 +48,9 @@ def chunked_counter(df: DataFrame, by: list[str], chunk: Column, order: list[str
     before = sizes.select(*by, "_chunk", (F.sum("_n").over(Window.partitionBy(*by).orderBy("_chunk")) - F.col("_n")).alias("_before"))
     numbered = rows.withColumn("_at", F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(*order)))
     return numbered.join(before, [*by, "_chunk"]).withColumn(name, F.col("_before") + F.col("_at")).drop("_chunk", "_before", "_at")
+
+
+def take_while(df: DataFrame, by: list[str], order: list[str], stop: Column) -> DataFrame:
+    """The rows of each group before its first row where ``stop`` is true; a null stops nothing."""
+    seen = F.max(F.coalesce(stop, F.lit(False))).over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("_stop", seen).where("not _stop").drop("_stop")

@@ -130,3 +130,11 @@ def center_rows(items: DataFrame, by: list[str]) -> DataFrame:
         return page
 
     return fold_groups(items, by, fold, _with_row_no(items.schema))
+
+
+def merge_rows(items: DataFrame, by: list[str], row: str = "row_no") -> DataFrame:
+    """(by, row, text, x0, y0, x1, y1, font_size, bold, italic): one line per visual row, texts from left to right, with the box around them, the largest font and whether any is bold or italic."""
+    texts = F.array_sort(F.collect_list(F.struct("x0", "ord", "text")))
+    merged = items.groupBy(*by, row).agg(texts.alias("_t"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.max("font_size").alias("font_size"), F.bool_or("bold").alias("bold"), F.bool_or("italic").alias("italic"))
+    text = F.array_join(F.filter(F.transform("_t", lambda t: t["text"]), lambda t: t != ""), " ")
+    return merged.select(*by, row, text.alias("text"), "x0", "y0", "x1", "y1", "font_size", "bold", "italic")

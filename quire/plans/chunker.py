@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import geometry as G
+from quire.functions import layout as L
 from quire.functions import text as T
 from quire.operators import chunking, margins, sequence
 
@@ -17,6 +18,8 @@ _NUMBERED = r"^\s*(\d+(?:\.\d+)*)\.?\s+(\S.*)$"
 _LONE = r"^\s*(\d+(?:\.\d+)+)\s*$"
 #: Page titles of navigation pages.
 NAVIGATION = ("contents", "table of contents", "index", "list of figures", "list of tables")
+#: Titles of front matter.
+FRONT = r"^(?:disclaimer|foreword|preface|introduction to \w+ standards)$"
 #: Weak and strong title similarity; the heading column; the score from which a candidate is accepted.
 WEAK, STRONG, COLUMN, ACCEPT = 0.35, 0.60, 0.20, 4.0
 
@@ -38,6 +41,35 @@ def running_text(rows: DataFrame, band: float = 0.105) -> DataFrame:
     return keyed.join(often, ["doc_id", "edge", "fp", "bucket"], "left_semi").select("doc_id", "ord")
 
 
+def furniture() -> Column:
+    """Page numbers and running headers, by their own form."""
+    header = L.running_header(F.col("text"), F.col("x_ratio"), F.col("y_ratio"), F.col("font_size"), F.col("body_font"))
+    return header | L.page_footer(F.col("text"), F.col("x0"), F.col("x1"), F.col("page_width"), F.col("y_ratio"))
+
+
+def suspicious_margins(rows: DataFrame, top: float, bottom: float) -> DataFrame:
+    """(doc_id, page_index, preview): pages whose margins drop text of 24 characters or more that does not recur, with the first two such lines."""
+    dropped = rows.where(~G.in_band(F.col("y_ratio"), top, bottom) & ~furniture() & (F.length("text") >= 24))
+    own = dropped.join(running_text(rows), ["doc_id", "ord"], "left_anti").join(navigation_pages(rows), ["doc_id", "page_index"], "left_anti")
+    first = F.slice(F.array_sort(F.collect_list(F.struct("y0", "x0", "ord", "text"))), 1, 2)
+    return own.groupBy("doc_id", "page_index").agg(F.array_join(F.transform(first, lambda x: x["text"]), " / ").alias("preview"))
+
+
+def front_matter_titles(rows: DataFrame) -> DataFrame:
+    """(doc_id, page_index, title): the first line of a page that is a title of front matter."""
+    return rows.where(T.normal(F.col("text")).rlike(FRONT)).groupBy("doc_id", "page_index").agg(F.min_by("text", F.struct("y0", "x0", "ord")).alias("title"))
+
+
+def caption_lines(lines: DataFrame, captions: DataFrame) -> DataFrame:
+    """``lines`` (with block) of each caption (doc_id, page_index, block, caption: the ord of its first line): on from the first until a gap of over .8 of its height, or a section number."""
+    first = captions.join(lines.select("doc_id", F.col("ord").alias("caption"), F.greatest(F.col("y1") - F.col("y0"), F.lit(1.0)).alias("_height")), ["doc_id", "caption"])
+    by = ["doc_id", "page_index", "block", "caption"]
+    inside = lines.join(first, ["doc_id", "page_index", "block"]).where("ord >= caption")
+    gap = F.col("y0") - F.lag("y1").over(Window.partitionBy(*by).orderBy("ord"))
+    marked = inside.withColumn("_end", (F.col("ord") > F.col("caption")) & ((gap > 0.8 * F.col("_height")) | F.col("text").rlike(_NUMBERED) | F.col("text").rlike(_LONE)))
+    return sequence.take_while(marked, by, ["ord"], F.col("_end")).drop("_height", "_end")
+
+
 def navigation_pages(rows: DataFrame) -> DataFrame:
     """(doc_id, page_index) with a contents title, or four leader and six numbered lines."""
     leader = F.col("text").rlike(r"\.{3,}|(?:\. ){3,}")
@@ -70,15 +102,16 @@ def candidates(rows: DataFrame, toc: DataFrame) -> DataFrame:
     sources = F.coalesce("sources", F.array().cast("array<string>"))
     points = (
         (F.col("bold"), 2.0), (F.col("font_size") >= F.col("body_font") - 0.25, 1.0), (F.col("x_ratio") <= COLUMN, 1.0), (F.array_contains(sources, "toc"), 3.0), (F.array_contains(sources, "bookmark"), 3.0), (sim >= STRONG, 0.5),
-        (title.rlike("^[^a-z]+$") & (F.length(title) <= 120), 0.25), ((F.col("y_ratio") < 0.095) & (F.col("font_size") < F.col("body_font") - 0.5), -2.0), (F.length(title) > 220, -1.5),
+        (L.upper_case(title) & (F.length(title) <= 120), 0.25), ((F.col("y_ratio") < 0.095) & (F.col("font_size") < F.col("body_font") - 0.5), -2.0), (F.length(title) > 220, -1.5),
     )
     score = sum((F.when(c, p).otherwise(0.0) for c, p in points), F.lit(0.0))
     return joined.select("doc_id", "page_index", "ord", "title_ord", "y0", "x0", "x_ratio", number.alias("section_number"), title.alias("section_title"), score.alias("score"), (F.size(sources) > 0).alias("has_evidence"), (F.coalesce("e.fix", F.lit(0)) == 1).alias("source_typo")).where((F.col("x_ratio") <= COLUMN) & (F.col("has_evidence") | F.contains("section_number", F.lit("."))))
 
 
-def headings(rows: DataFrame, toc: DataFrame) -> DataFrame:
-    """Accepted headings: score of four, and evidence or a place in the learned column; the first of each number counts."""
-    body = rows.join(navigation_pages(rows).groupBy("doc_id").agg(F.max("page_index").alias("nav")), "doc_id", "left").where("nav is null or page_index > nav").drop("nav")
+def headings(rows: DataFrame, toc: DataFrame, top: float = 0.0, bottom: float = 0.0) -> DataFrame:
+    """Accepted headings: score of four, and evidence or a place in the learned column; the first of each number counts. Margins, running text, page numbers and running headers hold none."""
+    inside = rows.where(G.in_band(F.col("y_ratio"), top, bottom) & ~furniture()).join(running_text(rows), ["doc_id", "ord"], "left_anti")
+    body = inside.join(navigation_pages(rows).groupBy("doc_id").agg(F.max("page_index").alias("nav")), "doc_id", "left").where("nav is null or page_index > nav").drop("nav")
     found = candidates(body, toc)
     learned = margins.median_mad(found.where("has_evidence"), ["doc_id"], "x_ratio").join(found.where("has_evidence").groupBy("doc_id").agg(F.count("*").alias("n")), "doc_id")
     cut = F.when(F.col("n") >= 3, F.greatest(F.lit(0.12), F.col("median") + F.least(F.greatest(0.020 + 3 * F.col("mad"), F.lit(0.025)), F.lit(0.050)))).otherwise(COLUMN)
@@ -108,10 +141,10 @@ def chunks(lines: DataFrame, toc: DataFrame, *, max_chars: int = chunking.MAX_CH
     if max_chars < 500:
         raise ValueError("chunks hold 500 characters or more")
     rows = placed(lines)
-    heads = headings(rows, toc)
+    heads = headings(rows, toc, top, bottom)
     used = heads.select("doc_id", F.explode(F.array_compact(F.array("ord", "title_ord"))).alias("ord"))
     nav = navigation_pages(rows)
-    body = rows.join(running_text(rows), ["doc_id", "ord"], "left_anti").join(nav, ["doc_id", "page_index"], "left_anti").where(G.in_band(F.col("y_ratio"), top, bottom))
+    body = rows.join(running_text(rows), ["doc_id", "ord"], "left_anti").join(nav, ["doc_id", "page_index"], "left_anti").where(G.in_band(F.col("y_ratio"), top, bottom) & ~furniture())
     text = body.join(used, ["doc_id", "ord"], "left_anti").withColumn("head", F.lit(None).cast("struct<number:string,title:string>"))
     marks = heads.join(rows.select("doc_id", "ord", *[c for c in rows.columns if c not in heads.columns]), ["doc_id", "ord"]).withColumn("head", F.struct(F.col("section_number").alias("number"), F.col("section_title").alias("title")))
     events = text.select(*rows.columns, "head").unionByName(marks.select(*rows.columns, "head"))

@@ -15,7 +15,8 @@ from quire.functions import numbering as N
 from quire.operators import boundaries, margins
 
 INDENT, COLUMN = 0.03, 0.025
-#: Fixed value: a section number at a line's start has two parts or more; a bare integer is none.
+#: A chapter's title; a section number at a line's start has two parts or more, a bare integer is none.
+CHAPTER = r"(?i)^\s*CHAPTER\s+(\d+)\b"
 SECTION = r"^\s*(\d+(?:\.\d+)+)(?:\s|$|[-–—:])"
 
 
@@ -33,13 +34,17 @@ def body_lines(lines: DataFrame, top: float = 0.05, bottom: float = 0.03) -> Dat
     return placed.withColumn("x_ratio", G.ratio(F.col("x0"), F.col("page_width"))).withColumn("number", F.nullif(F.regexp_extract("text", SECTION, 1), F.lit(""))).withColumn("letter", F.lower(N.lettered_item(F.col("text")))).withColumn("sub", N.numbered_item(F.col("text")))
 
 
-def section_bounds(lines: DataFrame, targets: DataFrame) -> DataFrame:
-    """``targets`` (doc_id, section) with start and end: from the first line with the number to the first later heading of another number that is no deeper, no smaller by over half a point, and bold if the first is."""
+def section_bounds(lines: DataFrame, targets: DataFrame, *, chapters: bool = False) -> DataFrame:
+    """``targets`` (doc_id, section) with start and end: from the first line with the number to the first later heading of another number that is no deeper, no smaller by over half a point, and bold if the first is. With ``chapters``, a later line of another chapter ends it, too."""
     heads = lines.where("number is not null").select("doc_id", "ord", "number", "font_size", "bold", F.size(N.parts(F.col("number"))).alias("depth"))
     first = heads.join(targets.select("doc_id", F.col("section").alias("number")).distinct(), ["doc_id", "number"], "left_semi").groupBy("doc_id", "number").agg(F.min_by(F.struct("ord", "font_size", "bold", "depth"), "ord").alias("h"))
     starts = first.select("doc_id", F.col("number").alias("section"), F.col("h.ord").alias("start"), F.col("h.font_size").alias("f"), F.col("h.bold").alias("b"), F.col("h.depth").alias("d"))
     met = starts.join(heads, "doc_id").where("ord > start and number <> section and depth <= d and font_size >= f - 0.5 and (bold or not b)")
-    ends = met.groupBy("doc_id", "section").agg(F.min("ord").alias("end"))
+    ends = met.select("doc_id", "section", "ord")
+    if chapters:
+        other = lines.withColumn("_c", F.nullif(F.regexp_extract("text", CHAPTER, 1), F.lit("")).cast("bigint")).where("_c is not null").select("doc_id", "ord", "_c")
+        ends = ends.unionByName(starts.join(other, "doc_id").where((F.col("ord") > F.col("start")) & (F.col("_c") != N.parts(F.col("section"))[0])).select("doc_id", "section", "ord"))
+    ends = ends.groupBy("doc_id", "section").agg(F.min("ord").alias("end"))
     return targets.join(starts.select("doc_id", "section", "start").join(ends, ["doc_id", "section"], "left"), ["doc_id", "section"], "left")
 
 
@@ -56,7 +61,7 @@ def marker_bounds(lines: DataFrame, spans: DataFrame, label: str, wanted: str, t
 
 
 def column_markers(lines: DataFrame, pattern: str, *, bold: bool = True, tolerance: float = COLUMN) -> DataFrame:
-    """Numbered markers at line starts with the end of their text: of equal numbers that whose column holds most distinct numbers, up to the next marker of that column."""
+    """Numbered markers at line starts with the end of their text: of equal numbers that whose column holds most distinct numbers, up to the next marker of that column, or a bold section heading before it at or left of the column (then next_reference is null)."""
     number = F.nullif(F.regexp_extract("text", pattern, 1), F.lit(""))
     marks = lines.withColumn("mark", number.cast("bigint")).where("mark is not null").where(F.lit(not bold) | F.col("bold"))
     support = boundaries.column_support(marks, ["doc_id"], "ord", "mark", "x_ratio", tolerance)
@@ -65,7 +70,10 @@ def column_markers(lines: DataFrame, pattern: str, *, bold: bool = True, toleran
     peers = marks.select("doc_id", "ord", F.col("mark").alias("peer"), "x_ratio")
     met = chosen.join(peers, "doc_id").where((F.col("ord") > F.col("start")) & (F.abs(F.col("x_ratio") - F.col("x")) <= tolerance))
     following = met.groupBy("doc_id", "mark").agg(F.min("ord").alias("end"), F.min_by("peer", "ord").alias("next_reference"))
-    return chosen.select("doc_id", "mark", "start").join(following, ["doc_id", "mark"], "left")
+    bounds = chosen.join(following, ["doc_id", "mark"], "left")
+    heads = lines.where("bold and number is not null").select("doc_id", "ord", "x_ratio")
+    cut = bounds.join(heads, "doc_id").where((F.col("ord") > F.col("start")) & (F.col("end").isNull() | (F.col("ord") < F.col("end"))) & (F.col("x_ratio") <= F.col("x") + tolerance)).groupBy("doc_id", "mark").agg(F.min("ord").alias("_cut"))
+    return bounds.join(cut, ["doc_id", "mark"], "left").select("doc_id", "mark", "start", F.coalesce("_cut", "end").alias("end"), F.when(F.col("_cut").isNull(), F.col("next_reference")).alias("next_reference"))
 
 
 def render(lines: DataFrame, spans: DataFrame, key: str) -> DataFrame:
@@ -87,11 +95,11 @@ def render(lines: DataFrame, spans: DataFrame, key: str) -> DataFrame:
     return rows.select("doc_id", key, F.array_join(F.transform("l", lambda x: x["_piece"]), "").alias("text"), F.array_distinct(F.transform("l", lambda x: x["page_index"] + 1)).alias("pages"))
 
 
-def clauses(lines: DataFrame, addresses: DataFrame) -> DataFrame:
+def clauses(lines: DataFrame, addresses: DataFrame, *, chapters: bool = False) -> DataFrame:
     """``addresses`` (doc_id, reference) with the clause's text and pages, or why there is none: every address stays."""
     body = body_lines(lines)
     parsed = addresses.select("doc_id", "reference").distinct().withColumn("a", parse_address(F.col("reference"))).select("doc_id", "reference", "a.*")
-    spans = section_bounds(body, parsed.where("section is not null"))
+    spans = section_bounds(body, parsed.where("section is not null"), chapters=chapters)
     narrowed = marker_bounds(body, marker_bounds(body, spans.where("start is not null"), "letter", "item"), "sub", "subitem")
     texts = render(body, narrowed, "reference")
     code = F.when(F.col("section").isNull(), "bad_address").when(F.col("text").isNull(), "not_found")

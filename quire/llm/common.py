@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 #: Rows with ``crc32(id as text) % FOLDS == 0`` are held out from learning.
 FOLDS = 5
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BROADCAST, _MEASURED = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,11 +54,34 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return made
 
 
+@contextmanager
+def measured_joins(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile broadcasts a side of a join only where its shuffle has shown it to be small.
+
+    Before a shuffle Spark goes by the size of the files below. Rows that compress well or are exploded hold many
+    times that, which the driver would gather and build a table of.
+    """
+    given = {k: spark.conf.get(k, None) for k in (_BROADCAST, _MEASURED)}
+    spark.conf.set(_MEASURED, given[_MEASURED] or spark.conf.get(_BROADCAST))
+    spark.conf.set(_BROADCAST, "-1")
+    try:
+        yield
+    finally:
+        for k, v in given.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def release(*tables: DataFrame) -> None:
-    """Delete materialized tables. Nothing may read them any more: what was made of them has been written, too."""
+    """Delete materialized tables. Nothing may read them any more: what was made of them has been written, too.
+
+    The driver then collects its garbage: only so do plans, broadcasts and shuffles that are done leave it (and the
+    executors), and over dozens of writes its heap would otherwise grow to its limit.
+    """
     for t in tables:
         at = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
         at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

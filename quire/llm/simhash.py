@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import materialize, release, trimmed
+from quire.llm.common import materialize, measured_joins, release, trimmed
 from quire.llm.components import components
 
 #: A segment bucket with more fingerprints than this is contracted first, so that a large group of near copies costs no pairs.
@@ -102,14 +102,15 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     Exact copies collapse to one fingerprint (partial minimum before the shuffle), so a group of copies that
     holds a third of all rows costs one node.
     """
-    marks = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, words=words, seed=seed), "simhash-fps")
-    nodes = materialize(marks.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    roots = components(links(nodes.select("fp"), max_bits=max_bits, crowded=crowded), "simhash-links")
-    linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = materialize(linked.join(named, "root").select("fp", "component_id"), "simhash-labels")
-    release(nodes, roots)
-    return marks.join(labels, "fp").select("id", "fp", "component_id")
+    with measured_joins(docs.sparkSession):
+        marks = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, words=words, seed=seed), "simhash-fps")
+        nodes = materialize(marks.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+        roots = components(links(nodes.select("fp"), max_bits=max_bits, crowded=crowded), "simhash-links")
+        linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+        named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+        labels = materialize(linked.join(named, "root").select("fp", "component_id"), "simhash-labels")
+        release(nodes, roots)
+    return marks.join(labels.hint("merge"), "fp").select("id", "fp", "component_id")
 
 
 def query(spark, sf_dir: str) -> DataFrame:  # noqa: ANN001

@@ -4,6 +4,9 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from quire.llm import components as components_module
+from quire.llm import simhash
+from quire.llm.common import materialize
 from quire.llm.components import components
 from quire.llm.simhash import fingerprint, links, query, simhash_components
 
@@ -79,3 +82,22 @@ def test_query(spark, small):
     for i in sorted(marks):
         least.setdefault(roots[marks[i]], i)
     assert all(rows[i]["component_id"] == least[roots[f]] for i, f in marks.items())
+
+
+def test_driver_builds_no_table_of_unmeasured_rows(spark, small, monkeypatch):
+    """File sizes say little of rows that are exploded or compress well, so no join may broadcast a side by them."""
+    plans, before = [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def noted(df, label):
+        plans.append((label, df._jdf.queryExecution().sparkPlan().toString()))
+        return materialize(df, label)
+
+    for module in (simhash, components_module):
+        monkeypatch.setattr(module, "materialize", noted)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for found in [simhash_components(docs, crowded=0)]:
+        plans.append(("result", found._jdf.queryExecution().sparkPlan().toString()))
+        assert found.count() == docs.count()
+    assert any("SortMergeJoin" in plan for _, plan in plans)
+    assert [label for label, plan in plans if "Broadcast" in plan] == []
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before

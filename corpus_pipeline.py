@@ -34,7 +34,8 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     once, often = first.where("_rows = 1"), first.where("_rows > 1")
     # Of repeats of one row, which may differ in other columns, the least as JSON stays.
     repeats = docs.join(often, on(often), "left_semi").groupBy("doc_id", F.xxhash64(F.col("text").cast("string"))).agg(F.min_by(whole, F.to_json(whole)).alias("_row"))
-    return docs.join(once, on(once), "left_semi").unionByName(repeats.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
+    # Without the hint, a table of all kept ids would go through the driver wherever its files are just below Spark's threshold.
+    return docs.join(once.hint("merge"), on(once), "left_semi").unionByName(repeats.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

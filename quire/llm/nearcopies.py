@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import simhash
-from quire.llm.common import materialize, release, trimmed
+from quire.llm.common import materialize, measured_joins, release, trimmed
 from quire.llm.components import components
 from quire.llm.containment import Powers, mix, shingle_hashes
 
@@ -188,20 +188,21 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows each get a row. An empty table gives no rows.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).select("id", F.xxhash64("text").alias("node"), "text")
-    marks = materialize(_marks(source, words), "near-marks")
     own = F.struct(F.col("id").isNull().alias("absent"), F.coalesce("id", F.lit(0)).alias("id"), F.col("key").alias("key"))
-    nodes = materialize(marks.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("bands").alias("bands"), F.min(own).alias("least")), "near-nodes")
-    rows = materialize(marks.select("id", "key", "node"), "near-rows")
-    release(marks)
-    made = links(source.select("node", "text"), nodes.where("n > 0"), words=words, threshold=threshold, crowded=crowded, pivots=pivots)
-    if made is None:
-        linked = nodes.select("node", "least", F.col("node").alias("root"))
-    else:
-        roots = components(made, "near-components")
-        release(made)
-        linked = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    linked = materialize(linked, "near-linked")
-    release(nodes, *([] if made is None else [roots]))
-    labels = materialize(linked.join(linked.groupBy("root").agg(F.min("least").alias("lead")), "root").select("node", "lead"), "near-labels")
-    release(linked)
-    return rows.join(labels, "node").select("id", "key", F.when(~F.col("lead.absent"), F.col("lead.id")).alias("component_id"), (own == F.col("lead")).alias("first"))
+    with measured_joins(docs.sparkSession):
+        marks = materialize(_marks(source, words), "near-marks")
+        nodes = materialize(marks.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("bands").alias("bands"), F.min(own).alias("least")), "near-nodes")
+        rows = materialize(marks.select("id", "key", "node"), "near-rows")
+        release(marks)
+        made = links(source.select("node", "text"), nodes.where("n > 0"), words=words, threshold=threshold, crowded=crowded, pivots=pivots)
+        if made is None:
+            linked = nodes.select("node", "least", F.col("node").alias("root"))
+        else:
+            roots = components(made, "near-components")
+            release(made)
+            linked = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+        linked = materialize(linked, "near-linked")
+        release(nodes, *([] if made is None else [roots]))
+        labels = materialize(linked.join(linked.groupBy("root").agg(F.min("least").alias("lead")), "root").select("node", "lead"), "near-labels")
+        release(linked)
+    return rows.join(labels.hint("merge"), "node").select("id", "key", F.when(~F.col("lead.absent"), F.col("lead.id")).alias("component_id"), (own == F.col("lead")).alias("first"))

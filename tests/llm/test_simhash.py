@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quire.llm import components as components_module
-from quire.llm import simhash
+from quire.llm import nearcopies, simhash
 from quire.llm.common import materialize
 from quire.llm.components import components
 from quire.llm.simhash import fingerprint, links, query, simhash_components
@@ -92,10 +92,10 @@ def test_driver_builds_no_table_of_unmeasured_rows(spark, small, monkeypatch):
         plans.append((label, df._jdf.queryExecution().sparkPlan().toString()))
         return materialize(df, label)
 
-    for module in (simhash, components_module):
+    for module in (simhash, nearcopies, components_module):
         monkeypatch.setattr(module, "materialize", noted)
     docs = spark.read.parquet(f"{small}/documents.parquet")
-    for found in [simhash_components(docs, crowded=0)]:
+    for found in (simhash_components(docs, crowded=0), nearcopies.near_components(docs)):
         plans.append(("result", found._jdf.queryExecution().sparkPlan().toString()))
         assert found.count() == docs.count()
     assert any("SortMergeJoin" in plan for _, plan in plans)
